@@ -7,6 +7,8 @@ from skyledger.operators import month_year_counts
 from skyledger.plans.questions import QUESTIONS
 from skyledger.streaming.results import BatchFunction, results_sink
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def start_stream(
     stream: DataFrame,
@@ -14,12 +16,21 @@ def start_stream(
     checkpoint: str,
     output_mode: str = "update",
     available_now: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that hands every micro-batch to ``on_batch``.
 
     ``available_now`` reads what is there, in batches of the source's size, and ends. Without
     it the query waits for more; await it with ``spark.streams.awaitAnyTermination()``.
+
+    Every micro-batch runs one task per state partition, and their number stays as first
+    started. A roll-up has few groups however large its input, so ``state_partitions`` can be
+    far below the session's shuffle partitions, which are sized for the input.
     """
+    if state_partitions is not None:
+        return _start_with_partitions(
+            state_partitions, stream, on_batch, checkpoint, output_mode, available_now
+        )
     writer = (
         stream.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
@@ -30,11 +41,29 @@ def start_stream(
     return writer.start()
 
 
+def _start_with_partitions(partitions: int, stream: DataFrame, *rest) -> StreamingQuery:
+    """A query keeps the settings its session had at the start, so they can go back after it."""
+    settings = stream.sparkSession.conf
+    before = settings.get(_PARTITIONS)
+    settings.set(_PARTITIONS, partitions)
+    try:
+        return start_stream(stream, *rest)
+    finally:
+        settings.set(_PARTITIONS, before)
+
+
 def drain(
-    stream: DataFrame, on_batch: BatchFunction, checkpoint: str, output_mode: str = "update"
+    stream: DataFrame,
+    on_batch: BatchFunction,
+    checkpoint: str,
+    output_mode: str = "update",
+    state_partitions: int | None = None,
 ) -> None:
     """Run a query until it has read all that is there; raises what the query raised."""
-    start_stream(stream, on_batch, checkpoint, output_mode).awaitTermination()
+    query = start_stream(
+        stream, on_batch, checkpoint, output_mode, state_partitions=state_partitions
+    )
+    query.awaitTermination()
 
 
 def run_per_batch(
@@ -65,6 +94,7 @@ def run_running(
     checkpoint: str,
     airports: DataFrame | None = None,
     per: str | None = None,
+    state_partitions: int | None = None,
 ) -> None:
     """Answer a question for everything read so far, after each micro-batch.
 
@@ -74,10 +104,13 @@ def run_running(
     question = QUESTIONS[name]
     sink = results_sink(results, lambda rollup: question.finish(rollup, airports, per))
     rollup = question.rollup(stream.select(*question.columns))
-    drain(rollup, sink, checkpoint, output_mode="complete")
+    drain(rollup, sink, checkpoint, "complete", state_partitions)
 
 
-def count_months(stream: DataFrame, results: str, checkpoint: str) -> None:
+def count_months(
+    stream: DataFrame, results: str, checkpoint: str, state_partitions: int | None = None
+) -> None:
     """Running flight counts by month; each batch writes the counts that it changed."""
     counts = month_year_counts(stream.select("Year", "Month"))
-    drain(counts, results_sink(results, lambda changed: changed), checkpoint)
+    sink = results_sink(results, lambda changed: changed)
+    drain(counts, sink, checkpoint, state_partitions=state_partitions)

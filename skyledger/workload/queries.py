@@ -21,6 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The carrier codes the workload's flights can have.
 CARRIERS = [f"C{i}" for i in range(20)]
+# The streamed roll-ups have at most a few thousand groups, at any scale of the tables.
+STATE_PARTITIONS = 8
 
 
 def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
@@ -173,6 +175,8 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "bucketed")
     table = "flights_" + path.rsplit("-", 1)[1]
     sources.write_bucketed(flights(spark, sf_dir), table, path)
+    # Only the catalog entry goes; the files are in a folder of their own.
+    spark.sql(f"DROP TABLE {table}")
     return path
 
 
@@ -186,6 +190,7 @@ def ingest_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources.consolidate_csv(as_flights(flights(spark, sf_dir)), csv)
     table = "flights_" + path.rsplit("-", 1)[1]
     plans.ingest(spark, csv, table, years=(1998, 2000), path=path)
+    spark.sql(f"DROP TABLE {table}")
     return _profile(sources.read_flights_parquet(spark, path))
 
 
@@ -208,6 +213,7 @@ def _stream_running(spark: SparkSession, sf_dir: str, name: str, per: str | None
         scratch_dir(spark, "checkpoint"),
         airports(spark, sf_dir),
         per,
+        STATE_PARTITIONS,
     )
     return streaming.latest_batch(spark, results).drop("batch_id")
 
@@ -251,7 +257,8 @@ def stream_month_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts over the files of the bucketed table."""
     results = scratch_dir(spark, "results")
     table_files = sources.stream_flights(spark, _bucketed(spark, sf_dir), 8 * _batch_files(spark))
-    streaming.count_months(table_files, results, scratch_dir(spark, "checkpoint"))
+    checkpoint = scratch_dir(spark, "checkpoint")
+    streaming.count_months(table_files, results, checkpoint, STATE_PARTITIONS)
     return streaming.latest_per_key(spark, results, ["Month", "Year"])
 
 

@@ -1,0 +1,153 @@
+from pathlib import Path
+
+import hand
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger import operators as ops
+from skyledger import plans, sources
+from skyledger.schema import FLIGHTS, as_flights
+
+HEADER = ",".join(FLIGHTS.names)
+
+
+def line(year, month, carrier="AA", arr="5", tail="N10AB", origin="JFK"):
+    values = dict.fromkeys(FLIGHTS.names, "NA")
+    values.update(
+        Year=year, Month=month, UniqueCarrier=carrier, ArrDelay=arr, TailNum=tail, Origin=origin
+    )
+    return ",".join(str(v) for v in values.values())
+
+
+def write(path: Path, *lines, header=HEADER):
+    path.write_text("\n".join((header, *lines)) + "\n")
+
+
+def data_files(path, suffix):
+    return [f for f in Path(path).rglob(f"*{suffix}") if not f.name.startswith(("_", "."))]
+
+
+def test_csv_glob(spark, tmp_path):
+    write(tmp_path / "1999.csv", line(1999, 1), line(1999, 2, arr="NA"))
+    write(tmp_path / "2000.csv", line(2000, 11, carrier="NA"), header=HEADER.upper())
+    write(tmp_path / "0000.csv", line(1990, 1))
+    (tmp_path / "airports.csv").write_text("iata,airport\nJFK,Kennedy\n")
+    got = sources.read_flights_csv(spark, f"{tmp_path}/[1-9]*.csv")
+    assert got.schema == FLIGHTS
+    assert hand.rows(got, "Year", "Month", "UniqueCarrier", "ArrDelay", "TailNum") == {
+        (1999, 1, "AA", 5, "N10AB"),
+        (1999, 2, "AA", None, "N10AB"),
+        (2000, 11, None, 5, "N10AB"),
+    }
+
+
+def test_csv_with_other_columns_is_refused(spark, tmp_path):
+    write(tmp_path / "1.csv", line(1999, 1), header=HEADER.replace("ArrDelay", "Delay"))
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_flights_csv(spark, str(tmp_path)).collect()
+
+
+def test_malformed_number(spark, tmp_path):
+    write(tmp_path / "1.csv", line(1999, 1, arr="soon"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_flights_csv(spark, str(tmp_path)).collect()
+    lenient = sources.read_flights_csv(spark, str(tmp_path), mode="PERMISSIVE")
+    assert hand.rows(lenient, "Year", "ArrDelay") == {(1999, None)}
+
+
+def test_airports_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('city,iata,airport\nNY,JFK,"Kennedy, John F"\nLA,LAX,\n')
+    got = sources.read_airports(spark, str(tmp_path / "a.csv"))
+    assert hand.rows(got) == {("JFK", "Kennedy, John F"), ("LAX", None)}
+
+
+def test_consolidate(spark, tmp_path):
+    flights = as_flights(hand.flights(spark).repartition(4))
+    for files in (1, None):
+        out = str(tmp_path / f"out{files}")
+        sources.consolidate_csv(flights, out, files)
+        assert len(data_files(out, ".csv")) == (files or 4)
+        back = sources.read_flights_csv(spark, out)
+        assert sorted(map(str, back.collect())) == sorted(map(str, flights.collect()))
+    with pytest.raises(Exception, match="(?i)exist"):
+        sources.consolidate_csv(flights, str(tmp_path / "out1"))
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = f"t_{tmp_path.name}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_bucketed_table(spark, tmp_path, table):
+    flights = as_flights(hand.flights(spark).repartition(4))
+    path = str(tmp_path / "files")
+    sources.write_bucketed(flights, table, path)
+    sources.write_bucketed(flights, table, path)
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESC EXTENDED {table}").collect()}
+    assert described["Num Buckets"] == "12"
+    assert described["Bucket Columns"] == described["Sort Columns"] == "[`Month`]"
+    assert {p.name for p in Path(path).iterdir() if p.is_dir()} == {"Year=2000", "Year=2001"}
+    # Appended twice, by name and by folder.
+    want = {(m, y, 2 * n) for m, y, n in hand.rows(ops.month_year_counts(flights))}
+    assert hand.rows(ops.month_year_counts(spark.table(table))) == want
+    by_folder = sources.read_flights_parquet(spark, path)
+    assert by_folder.schema["Year"].dataType == FLIGHTS["Year"].dataType
+    assert hand.rows(ops.month_year_counts(by_folder)) == want
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def test_bucketed_table_plans(spark, tmp_path, table):
+    sources.write_bucketed(as_flights(hand.flights(spark)), table, str(tmp_path / "files"))
+    by_name = plan(ops.worst_months(spark.table(table)))
+    assert "Exchange" not in by_name
+    one_year = plan(plans.flights_for_year(spark.table(table), 2000))
+    assert "PartitionFilters: [isnotnull(Year" in one_year
+
+
+def test_few_files_for_small_years_many_for_a_hot_month(spark, tmp_path, table):
+    """A month with most of the rows is written by several tasks, the others share one."""
+    rows = spark.range(0, 400_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 1999).otherwise(2000 + F.col("id") % 4).cast("int").alias("Year"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(1 + F.col("id") % 12).cast("int").alias("Month"),
+        F.sha2(F.col("id").cast("string"), 256).alias("TailNum"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "2m")
+    try:
+        sources.write_bucketed(as_flights(rows), table, str(tmp_path / "files"))
+        sources.write_per_year(as_flights(rows), str(tmp_path / "years"))
+    finally:
+        spark.conf.unset(key)
+    hot = len(data_files(tmp_path / "files" / "Year=1999", ".parquet"))
+    assert 3 <= hot <= 16
+    assert len(data_files(tmp_path / "years" / "part_year=1999", ".parquet")) >= 3
+    back = sources.read_flights_parquet(spark, str(tmp_path / "files"))
+    assert back.count() == 400_000 and back.select("TailNum").distinct().count() == 400_000
+
+
+def test_ingest(spark, tmp_path, table):
+    write(tmp_path / "1999.csv", line(1999, 1), line(1999, 12))
+    write(tmp_path / "2000.csv", line(2000, 11))
+    write(tmp_path / "2001.csv", line(2001, 5))
+    plans.ingest(spark, f"{tmp_path}/[1-9]*.csv", table, [1999, 2001], str(tmp_path / "t"))
+    got = ops.month_year_counts(spark.table(table))
+    assert hand.rows(got) == {(1, 1999, 1), (12, 1999, 1), (5, 2001, 1)}
+    plans.ingest(spark, f"{tmp_path}/2000.csv", table)
+    assert spark.table(table).count() == 4
+
+
+def test_per_year_layout(spark, tmp_path):
+    flights = as_flights(hand.flights(spark).repartition(4))
+    sources.write_per_year(flights, str(tmp_path / "y"))
+    for year in (2000, 2001):
+        files = data_files(tmp_path / "y" / f"part_year={year}", ".parquet")
+        assert len(files) == 1
+    back = sources.read_flights_parquet(spark, f"{tmp_path}/y/*/")
+    assert sorted(map(str, back.collect())) == sorted(map(str, flights.collect()))
