@@ -33,24 +33,23 @@ def airport_totals(routes: DataFrame, per: str | None = None) -> DataFrame:
     turned into a departure row and an arrival row.
     """
     _check_scope(per)
-    none = F.lit(0).cast("bigint")
-    n = F.col("total_flights")
-    departure = F.struct(F.col("Origin").alias("code"), "Year", n.alias("out"), none.alias("in"))
-    arrival = F.struct(F.col("Dest").alias("code"), "Year", none.alias("out"), n.alias("in"))
     yearly = (
-        routes.select(F.explode(F.array(departure, arrival)).alias("end"))
-        .select("end.*")
-        .where(F.col("code").isNotNull())
+        routes.selectExpr(
+            "Year",
+            "stack(2, Origin, total_flights, 0L, Dest, 0L, total_flights)"
+            " AS (code, departures, arrivals)",
+        )
+        .where("code IS NOT NULL")
         .groupBy("code", "Year")
-        .agg(F.sum("out").alias("source_count"), F.sum("in").alias("dest_count"))
+        .agg(F.sum("departures").alias("source_count"), F.sum("arrivals").alias("dest_count"))
     )
     if per is None:
         over_years = F.sum("dest_count").over(Window.partitionBy("code"))
         yearly = yearly.withColumn("dest_count", over_years)
-    return yearly.where(F.col("source_count") > 0).select(
-        F.col("code").alias("Origin"),
-        F.coalesce("Year", F.lit(0)).alias("Year"),
-        (F.col("source_count") + F.col("dest_count")).alias("total_count"),
+    return yearly.where("source_count > 0").selectExpr(
+        "code AS Origin",
+        "coalesce(Year, 0) AS Year",
+        "source_count + dest_count AS total_count",
     )
 
 

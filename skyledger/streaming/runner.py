@@ -58,12 +58,16 @@ def drain(
     checkpoint: str,
     output_mode: str = "update",
     state_partitions: int | None = None,
-) -> None:
-    """Run a query until it has read all that is there; raises what the query raised."""
+) -> StreamingQuery:
+    """Run a query until it has read all that is there; raises what the query raised.
+
+    Returns the finished query, whose progress tells what each micro-batch read.
+    """
     query = start_stream(
         stream, on_batch, checkpoint, output_mode, state_partitions=state_partitions
     )
     query.awaitTermination()
+    return query
 
 
 def run_per_batch(
@@ -74,7 +78,7 @@ def run_per_batch(
     airports: DataFrame | None = None,
     per: str | None = None,
     skip_empty: bool = False,
-) -> None:
+) -> StreamingQuery:
     """Answer a question for each micro-batch by itself; nothing is carried over.
 
     The answers depend on which files share a batch. They are those of the whole input only if
@@ -84,7 +88,7 @@ def run_per_batch(
     sink = results_sink(
         results, lambda batch: question.answer(batch, airports, per), skip_empty
     )
-    drain(stream.select(*question.columns), sink, checkpoint)
+    return drain(stream.select(*question.columns), sink, checkpoint)
 
 
 def run_running(
@@ -95,7 +99,7 @@ def run_running(
     airports: DataFrame | None = None,
     per: str | None = None,
     state_partitions: int | None = None,
-) -> None:
+) -> StreamingQuery:
     """Answer a question for everything read so far, after each micro-batch.
 
     State holds the question's roll-up, whose size is that of its groups, so the answers do not
@@ -104,13 +108,13 @@ def run_running(
     question = QUESTIONS[name]
     sink = results_sink(results, lambda rollup: question.finish(rollup, airports, per))
     rollup = question.rollup(stream.select(*question.columns))
-    drain(rollup, sink, checkpoint, "complete", state_partitions)
+    return drain(rollup, sink, checkpoint, "complete", state_partitions)
 
 
 def count_months(
     stream: DataFrame, results: str, checkpoint: str, state_partitions: int | None = None
-) -> None:
+) -> StreamingQuery:
     """Running flight counts by month; each batch writes the counts that it changed."""
     counts = month_year_counts(stream.select("Year", "Month"))
     sink = results_sink(results, lambda changed: changed)
-    drain(counts, sink, checkpoint, state_partitions=state_partitions)
+    return drain(counts, sink, checkpoint, state_partitions=state_partitions)

@@ -43,13 +43,19 @@ def folders(tmp_path):
     return str(tmp_path / "results"), str(tmp_path / "checkpoint")
 
 
+def batch_rows(query):
+    return [p.numInputRows for p in query.recentProgress if p.numInputRows]
+
+
 @pytest.mark.parametrize("name", list(QUESTIONS))
 def test_a_year_per_batch_gives_the_per_year_answers(
     spark, flights, airports, by_year, tmp_path, name
 ):
     results, checkpoint = folders(tmp_path)
     stream = sources.stream_flights(spark, by_year)
-    streaming.run_per_batch(name, stream, results, checkpoint, airports)
+    query = streaming.run_per_batch(name, stream, results, checkpoint, airports)
+    # Every flight was read once, however many steps the answer has.
+    assert sorted(batch_rows(query)) == [5, 7]
     got = streaming.all_batches(spark, results)
     assert got.select("batch_id").distinct().count() == 2
     want = hand.rows(QUESTIONS[name].answer(flights, airports, "Year"))
@@ -69,8 +75,17 @@ def test_batches_that_split_a_month_change_per_batch_answers(
     assert got.count() > ops.worst_months(flights).count()
 
 
-@pytest.mark.parametrize("per", [None, "Year"])
-@pytest.mark.parametrize("name", list(QUESTIONS))
+@pytest.mark.parametrize(
+    ("name", "per"),
+    [
+        ("carrier_punctuality", None),
+        ("worst_months", None),
+        ("busiest_airports", None),
+        ("busiest_airports", "Year"),
+        ("busy_paths", None),
+        ("busy_paths", "Year"),
+    ],
+)
 def test_running_answers_do_not_depend_on_the_split(
     spark, flights, airports, by_year, split_months, tmp_path, name, per
 ):
@@ -78,7 +93,10 @@ def test_running_answers_do_not_depend_on_the_split(
     for label, path, batches in (("y", by_year, 2), ("m", split_months, 4)):
         results, checkpoint = str(tmp_path / f"r{label}"), str(tmp_path / f"c{label}")
         stream = sources.stream_flights(spark, path)
-        streaming.run_running(name, stream, results, checkpoint, airports, per)
+        query = streaming.run_running(
+            name, stream, results, checkpoint, airports, per, state_partitions=4
+        )
+        assert sum(batch_rows(query)) == len(hand.FLIGHTS)
         got = streaming.latest_batch(spark, results)
         assert hand.rows(got.select("batch_id").distinct()) == {(batches - 1,)}
         assert hand.rows(got.drop("batch_id")) == want
@@ -179,6 +197,16 @@ def test_continuous_query(spark, by_year, tmp_path):
     assert streaming.all_batches(spark, results).count() == 5
 
 
+def test_state_partitions_are_the_querys_own(spark, by_year, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results, checkpoint = folders(tmp_path)
+    stream = sources.stream_flights(spark, by_year)
+    query = streaming.count_months(stream, results, checkpoint, state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+    states = [op.numShufflePartitions for p in query.recentProgress for op in p.stateOperators]
+    assert states and set(states) == {3}
+
+
 def test_errors_in_a_batch_surface(spark, by_year, tmp_path):
     def fail(batch, batch_id):
         raise RuntimeError("sink is full")
