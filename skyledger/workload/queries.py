@@ -227,13 +227,13 @@ def _stream_by_year(spark: SparkSession, sf_dir: str, name: str) -> str:
     staged, landing = scratch_dir(spark, "staged"), scratch_dir(spark, "landing")
     results, checkpoint = scratch_dir(spark, "results"), scratch_dir(spark, "checkpoint")
     sources.write_per_year(_flights_for(spark, sf_dir, name), staged)
-    arriving = spark.read.parquet(staged)
+    arriving, named = spark.read.parquet(staged), airports(spark, sf_dir)
     years = arriving.select("part_year").distinct().orderBy("part_year").collect()
     for (year,) in years:
         of_year = arriving.where(F.col("part_year").eqNullSafe(year)).drop("part_year")
         of_year.write.parquet(f"{landing}/{year}")
         stream = sources.stream_flights(spark, f"{landing}/*/", max_files=None)
-        streaming.run_per_batch(name, stream, results, checkpoint, airports(spark, sf_dir))
+        streaming.run_per_batch(name, stream, results, checkpoint, named)
     return results
 
 
