@@ -1,6 +1,8 @@
 """What the plans must look like for large inputs."""
 
 import re
+import tempfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,8 +96,8 @@ def test_airports_are_broadcast_only_under_the_planner_threshold(spark, no_broad
 def test_a_hot_order_is_split(spark, tmp_path, no_broadcast):
     """With a third of the line items on one order, the join splits that order's partition."""
     source = spark.read.parquet(f"{SF}/lineitem.parquet")
-    copies = spark.range(6).select(F.col("id").alias("copy"))
-    many = source.crossJoin(copies).repartition(16)
+    six = F.explode(F.sequence(F.lit(1), F.lit(6)))
+    many = source.withColumn("copy", six).drop("copy").repartition(16)
     is_hot = F.col("l_linenumber") % 3 == 0
     hot = many.withColumn("l_orderkey", F.when(is_hot, 1).otherwise(F.col("l_orderkey")))
     hot.write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -123,3 +125,13 @@ def test_scratch_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_scratch_folder_of_a_session_that_names_none():
+    def session(master):
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("local[2]"), "x").startswith(tempfile.gettempdir())
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"), "x")
