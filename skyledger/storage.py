@@ -1,9 +1,8 @@
 """Where jobs keep files that every executor must be able to read."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -11,11 +10,16 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder named in ``spark.checkpoint.dir``.
 
-    A machine-local folder stands in only for a local session that names none.
+    Where that is unset, a sub-folder of ``spark.sql.warehouse.dir`` stands in: tables are
+    written there, so every executor reaches it.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        base = tempfile.gettempdir()
+    base = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to a new shared folder and read back, which cuts its lineage."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
