@@ -1,7 +1,5 @@
 """Hashes of bytes, words and runs of words as whole numpy arrays."""
 
-from functools import lru_cache
-
 import numpy as np
 
 U = np.uint64
@@ -18,10 +16,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(64)
+_ODD: dict[tuple[int, int], np.ndarray] = {}
+
+
 def odd(n: int, seed: int) -> np.ndarray:
     """``n`` odd multipliers."""
-    return mix(np.arange(1, n + 1, dtype=U) * _A + U(seed)) | U(1)
+    if (n, seed) not in _ODD:
+        _ODD[n, seed] = mix(np.arange(1, n + 1, dtype=U) * _A + U(seed)) | U(1)
+    return _ODD[n, seed]
 
 
 _SPACE = np.zeros(256, bool)

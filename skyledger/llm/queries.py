@@ -1,9 +1,10 @@
 """The operators of this subpackage over whole tables, under the names the driver asks for."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, fingerprints, langid, mixing, tokens, warc
+from skyledger.llm import chat, chunkdedup, decontam, fingerprints, langid, mixing, neardup, quality, tokens, warc
 
 
 def _table(spark, sf_dir, name):
@@ -22,10 +23,29 @@ def op2_source_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = chunkdedup.dedup_substrings(documents)
+    n_bytes, kept = F.octet_length(F.coalesce("text", F.lit(""))), F.octet_length(F.coalesce("kept_text", F.lit("")))
+    return out.select(
+        "doc_id", n_bytes.cast("long").alias("n_bytes"), kept.cast("long").alias("kept_bytes"), "removed_bytes", "repeated_bytes",
+        "removed_spans", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op4_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_fingerprints(spark, sf_dir):
     return fingerprints.with_neighbours(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_decontamination(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contaminated(documents, _table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(documents).select("doc_id", "held_out", "lang_pred", "score")
@@ -36,6 +56,11 @@ def op8_warc(spark, sf_dir):
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_quality(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(documents).select("doc_id", "weak_label", "quality", "keep")
+
+
 def op10_token_counts(spark, sf_dir, tokenizer="word_bpe_49k.json"):
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = tokens.count_tokens(documents, public_tokenizers.path(tokenizer))
@@ -45,10 +70,15 @@ def op10_token_counts(spark, sf_dir, tokenizer="word_bpe_49k.json"):
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_source_mixing": op2_source_mixing,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_fingerprints": op5_fingerprints,
+    "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_warc": op8_warc,
+    "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
