@@ -11,41 +11,56 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.hashing import U, mix, word_hashes, word_spans
 
-_WORD = r"[^\x20\x09-\x0D]+"
+NAMES = ["case", "symbols", "digits", "variety", "repeats", "marks", "length", "words", "sentences"]
 
 
-def _share(text: Column, pattern: str, of: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.regexp_count(text, F.lit(of)), F.lit(1))
+def _bytes(*spans: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for a, b in spans:
+        out[a : b + 1] = True
+    return out
 
 
-def votes(text: Column) -> dict[str, Column]:
-    """1 good, 0 bad, -1 no vote; each heuristic has a clear, a doubtful and a bad range."""
-    n = F.regexp_count(text, F.lit(_WORD))
-    low = F.split(F.lower(text), r"\s+")
+_CAPITAL, _DIGIT, _HIGH = _bytes((65, 90)), _bytes((48, 57)), _bytes((128, 255))
+_LETTER = _CAPITAL | _bytes((97, 122)) | _HIGH
+_BLANK = _bytes((9, 13), (32, 32))
+_SYMBOL = ~(_LETTER | _DIGIT | _BLANK) & ~_bytes((44, 44), (46, 46))
+_MARK = np.zeros(256, bool)
+_MARK[list(b"|#*=~_")] = True
 
-    def ranged(x: Column, good: Column, bad: Column) -> Column:
-        return F.when(n == 0, 0).when(bad, 0).when(good, 1).otherwise(-1)
 
-    upper, symbols = _share(text, r"\p{Lu}", r"\p{L}"), _share(text, r"[^\p{L}\p{N}\s.,]", r"\S")
-    digits, variety = _share(text, r"\p{N}", r"\S"), F.size(F.array_distinct(low)) / F.greatest(n, F.lit(1))
-    twice = _share(text, r"(?U)\b(\w+)\s+(?=\1\b)", _WORD)
-    length = F.length(text) / F.greatest(n, F.lit(1))
-    return {
-        "case": ranged(upper, upper < 0.12, upper > 0.3),
-        "symbols": ranged(symbols, symbols < 0.02, symbols > 0.06),
-        "digits": ranged(digits, digits < 0.02, digits > 0.08),
-        "variety": ranged(variety, variety > 0.25, (variety < 0.12) | ((n > 12) & (variety < 0.3))),
-        "repeats": ranged(twice, twice < 0.05, twice > 0.15),
-        "marks": ranged(_share(text, r"[!?]{2,}|[|#*=~_]", _WORD), _share(text, r"[!?]{2,}|[|#*=~_]", _WORD) < 0.02, _share(text, r"[!?]{2,}|[|#*=~_]", _WORD) > 0.1),
-        "length": ranged(n, n >= 40, n < 15),
-        "words": ranged(length, (length > 4) & (length < 9), (length < 3) | (length > 14)),
-        "sentences": ranged(n, _share(text, r"[.]", _WORD).between(0.02, 0.3), _share(text, r"[.]", _WORD) > 0.5),
-    }
+def votes(text: bytes, words: np.ndarray | None = None) -> list[int]:
+    """A vote of each heuristic on a whole text: 1 good, 0 bad, -1 none. Each has a good and a bad
+    range of one figure, and is silent between them; a text without words is bad to all."""
+    words = word_hashes(text) if words is None else words
+    n = len(words)
+    if not n:
+        return [0] * len(NAMES)
+    raw = np.frombuffer(text, "u1")
+    count = np.bincount(raw, minlength=256)
+    of = lambda kind: int(count[kind].sum())
+    shown = len(raw) - of(_BLANK)
+    doubled = int(np.count_nonzero((raw[1:] == raw[:-1]) & ((raw[1:] == 33) | (raw[1:] == 63))))
+    case, symbols, digits = of(_CAPITAL) / max(of(_LETTER), 1), of(_SYMBOL) / shown, of(_DIGIT) / shown
+    variety, repeats = len(np.unique(words)) / n, np.count_nonzero(words[1:] == words[:-1]) / n
+    marks, length, stops = (doubled + of(_MARK)) / n, shown / n, count[46] / n
+    ranges = [
+        (case < 0.12, case > 0.3),
+        (symbols < 0.02, symbols > 0.06),
+        (digits < 0.02, digits > 0.08),
+        (variety > 0.25, n > 12 and variety < 0.3),
+        (repeats < 0.05, repeats > 0.15),
+        (marks < 0.02, marks > 0.1),
+        (n >= 40, n < 15),
+        (4 < length < 9, length < 3 or length > 14),
+        (0.02 < stops < 0.3, stops > 0.5),
+    ]
+    return [0 if bad else 1 if good else -1 for good, bad in ranges]
 
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> dict:
@@ -69,9 +84,9 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
     return {"prior": float(prior), "accuracy": np.stack([right1, right0], 1), "posterior": post}
 
 
-def features(text: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def features(text: bytes, bits: int, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words and word shapes of a whole text: buckets and their shares."""
-    words = word_hashes(text)
+    words = word_hashes(text) if words is None else words
     if not len(words):
         return np.empty(0, "i8"), np.empty(0)
     raw = np.frombuffer(text, "u1")
@@ -111,8 +126,8 @@ class Scorer:
                 self.bias -= rate * err / np.sqrt(b2)
         return self
 
-    def score(self, text: bytes) -> float:
-        at, x = features(text, self.bits)
+    def score(self, text: bytes, words: np.ndarray | None = None) -> float:
+        at, x = features(text, self.bits, words)
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[at] @ x, -30, 30)))) if len(at) else 0.0
 
 
@@ -126,38 +141,44 @@ def classify(documents: DataFrame, id_col: str = "doc_id", sample: int = 3000, t
     """
     new = ["weak_label", "quality", "keep"]
     own = [c for c in documents.columns if c not in new]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    names = list(votes(text))
-    base = documents.select(F.struct(*own).alias("row"), F.col(id_col).alias("__id"), text.alias("t"))
-    voted = base.select("*", F.concat_ws(",", *[v.cast("string") for v in votes(F.col("t")).values()]).alias("pattern"))
-    counted = sorted((r["pattern"], r["count"]) for r in voted.groupBy("pattern").count().collect())
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    pattern = lambda text, words=None: ",".join(map(str, votes(text, words)))
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in batch.column(0).to_pylist()], pa.string())], ["pattern"])
+
+    counts = documents.select(data.alias("data")).mapInArrow(voted, "pattern string").groupBy("pattern").count()
+    counted = sorted((r["pattern"], r["count"]) for r in counts.collect())
     if not counted:
         return documents.select(*own, F.lit(0.0).alias("weak_label"), F.lit(0.0).alias("quality"), F.lit(False).alias("keep"))
     patterns = np.array([[int(v) for v in p.split(",")] for p, _ in counted])
-    assert patterns.shape[1] == len(names)
     model = fit_labellers(patterns, np.array([n for _, n in counted], float))
     posterior = {p: float(x) for (p, _), x in zip(counted, model["posterior"], strict=True)}
     bits = Scorer().bits
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.float64())]
         for batch in batches:
-            found = [features(t, bits) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))],
-                ["pattern", "at", "x"],
-            )
-
-    some = voted.orderBy(F.md5(F.coalesce(F.col("__id").cast("string"), F.lit(""))), "t").limit(sample)
-    learned = some.select("pattern", F.col("t").cast("binary").alias("data")).mapInArrow(hashed, "pattern string, at array<long>, x array<double>").collect()
+            rows = [(pattern(t), *features(t, bits)) for t in batch.column(0).to_pylist()]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["pattern", "at", "x"])
+
+    ids = documents.select(F.col(id_col).alias("id"), data.alias("data"))
+    some = ids.orderBy(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), "data").limit(sample).select("data")
+    learned = some.mapInArrow(hashed, "pattern string, at array<long>, x array<double>").collect()
     rows = [(np.array(r["at"], "i8"), np.array(r["x"])) for r in learned]
     scorer = Scorer().fit(rows, np.array([posterior[r["pattern"]] for r in learned]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weak = [posterior[p] for p in batch.column(1).to_pylist()]
-            quality = [scorer.score(t) for t in batch.column(2).to_pylist()]
+            weak, quality = [], []
+            for text in batch.column(1).to_pylist():
+                words = word_hashes(text)
+                weak.append(posterior[pattern(text, words)])
+                quality.append(scorer.score(text, words))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weak, pa.float64()), pa.array(quality, pa.float64())], ["row", *new[:2]])
 
-    rows = voted.select("row", "pattern", F.col("t").cast("binary").alias("data"))
+    rows = documents.select(F.struct(*own).alias("row"), data.alias("data"))
     out = rows.mapInArrow(scored, f"row {rows.schema['row'].dataType.simpleString()}, weak_label double, quality double")
     return out.select("row.*", "weak_label", "quality", (F.col("quality") >= threshold).alias("keep"))
