@@ -103,9 +103,11 @@ def month_year_counts(flights: DataFrame) -> DataFrame:
     return flights.groupBy("Month", "Year").agg(F.count("*").alias("n_flights"))
 
 
-def month_year_counts_sql(flights: DataFrame, view: str = "flights") -> DataFrame:
-    """The same count in SQL over a temporary view, which ``view`` names and replaces."""
+def month_year_counts_sql(flights: DataFrame, view: str | None = None) -> DataFrame:
+    """The same count in SQL, over the frame itself or over a temporary view of the given name,
+    which is replaced."""
+    text = "SELECT Month, Year, count(*) AS n_flights FROM {source} GROUP BY Month, Year"
+    if view is None:
+        return flights.sparkSession.sql(text, source=flights)
     flights.createOrReplaceTempView(view)
-    return flights.sparkSession.sql(
-        f"SELECT Month, Year, count(*) AS n_flights FROM {view} GROUP BY Month, Year"
-    )
+    return flights.sparkSession.sql(text.format(source="`" + view.replace("`", "``") + "`"))

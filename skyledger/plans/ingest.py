@@ -19,12 +19,13 @@ def ingest(
     table: str,
     years: Iterable[int] | None = None,
     path: str | None = None,
+    replace: bool = False,
 ) -> None:
     """Append CSV records, of all years or of the given ones, to the bucketed table.
 
-    The table keeps its rows sorted by Month within each file, so no sort comes before it.
+    ``replace`` overwrites the years being loaded, for a job that is run again. The table keeps its rows sorted by Month within each file, so no sort comes before it.
     """
     flights = read_flights_csv(spark, source)
     if years is not None:
         flights = flights.where(F.col("Year").isin(*years))
-    write_bucketed(flights, table, path)
+    write_bucketed(flights, table, path, replace=replace)

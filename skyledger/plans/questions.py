@@ -27,13 +27,22 @@ class Question:
 
     columns: tuple[str, ...]
     rollup: Callable[[DataFrame], DataFrame]
-    finish: Callable[[DataFrame, DataFrame | None, str | None], DataFrame]
+    finish: Callable[..., DataFrame]
     view: Callable[[DataFrame], DataFrame]
+    needs_airports: bool = False
+
+    def parted(self, options: dict) -> tuple[dict, dict]:
+        """The options of the roll-up (``threshold``) and those of the steps after it (``k``)."""
+        known = {"k"} if self.needs_airports else {"threshold"}
+        if unknown := set(options) - known:
+            raise TypeError(f"not an option of this question: {', '.join(sorted(unknown))}")
+        return (options, {}) if not self.needs_airports else ({}, options)
 
     def answer(
-        self, flights: DataFrame, airports: DataFrame | None = None, per: str | None = None
+        self, flights: DataFrame, airports: DataFrame | None = None, per: str | None = None, **options
     ) -> DataFrame:
-        return self.finish(self.rollup(flights), airports, per)
+        early, late = self.parted(options)
+        return self.finish(self.rollup(flights, **early), airports, per, **late)
 
 
 QUESTIONS: dict[str, Question] = {
@@ -52,13 +61,15 @@ QUESTIONS: dict[str, Question] = {
     "busiest_airports": Question(
         columns=("Year", "Origin", "Dest"),
         rollup=route_counts,
-        finish=lambda rollup, airports, per: finish_airports(rollup, airports, per=per),
+        finish=lambda rollup, airports, per, **top: finish_airports(rollup, airports, per=per, **top),
         view=airports_view,
+        needs_airports=True,
     ),
     "busy_paths": Question(
         columns=("Year", "Origin", "Dest"),
         rollup=route_counts,
-        finish=lambda rollup, airports, per: finish_paths(rollup, airports, per=per),
+        finish=lambda rollup, airports, per, **top: finish_paths(rollup, airports, per=per, **top),
         view=paths_view,
+        needs_airports=True,
     ),
 }

@@ -26,9 +26,17 @@ def carrier_view(punctuality: DataFrame) -> DataFrame:
 
 
 def carrier_matrix(view: DataFrame, carriers: Sequence[str]) -> DataFrame:
-    """One line per year and one column per carrier. Naming the carriers saves a pass that
-    would look for them."""
-    return view.groupBy("Year").pivot("name", list(carriers)).agg(F.first("value"))
+    """One line per year and one column per carrier, the missing carrier's being ``unknown``.
+
+    Naming the carriers saves a pass that would look for them. Every series is kept: a carrier
+    outside the list stops the query; :func:`carrier_view` itself is the form that needs no list.
+    """
+    if "unknown" in carriers:
+        raise ValueError("the column unknown is that of the missing carrier")
+    outside = F.raise_error(F.concat(F.lit("carrier outside the list: "), F.col("name")))
+    named = F.when(F.col("name").isNull(), "unknown").when(F.col("name").isin(*carriers), F.col("name"))
+    series = view.withColumn("name", named.otherwise(outside.cast("string")))
+    return series.groupBy("Year").pivot("name", [*carriers, "unknown"]).agg(F.max("value"))
 
 
 def months_view(months: DataFrame) -> DataFrame:
@@ -41,12 +49,12 @@ def months_view(months: DataFrame) -> DataFrame:
 
 
 def months_matrix(view: DataFrame) -> DataFrame:
-    """The heat map: one line per year and one column per month."""
+    """The heat map: one line per year and one column per month; ``m00`` is the unknown month."""
     named = view.withColumn("month_name", F.format_string("m%02d", "Month"))
     return (
         named.groupBy("Year")
-        .pivot("month_name", [f"m{month:02d}" for month in range(1, 13)])
-        .agg(F.first("value"))
+        .pivot("month_name", [f"m{month:02d}" for month in range(13)])
+        .agg(F.max("value"))
     )
 
 

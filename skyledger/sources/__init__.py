@@ -4,6 +4,7 @@ from skyledger.sources.readers import (
     read_airports,
     read_flights_csv,
     read_flights_parquet,
+    read_flights_table,
     stream_flights,
 )
 from skyledger.sources.writers import consolidate_csv, write_bucketed, write_per_year
@@ -13,6 +14,7 @@ __all__ = [
     "read_airports",
     "read_flights_csv",
     "read_flights_parquet",
+    "read_flights_table",
     "stream_flights",
     "write_bucketed",
     "write_per_year",

@@ -20,11 +20,28 @@ def consolidate_csv(flights: DataFrame, path: str, num_files: int | None = None)
     merged.write.option("header", True).option("nullValue", MISSING).csv(path)
 
 
-def write_bucketed(flights: DataFrame, table: str, path: str | None = None, buckets: int = 12) -> None:
+def write_bucketed(
+    flights: DataFrame, table: str, path: str | None = None, buckets: int = 12, replace: bool = False
+) -> None:
     """Append to a parquet table partitioned by Year, bucketed and sorted by Month.
 
+    With ``replace`` the years in ``flights`` take the place of the same years in the table, so
+    a job that is run again does not double them; other years stay. The rebalance needs adaptive
+    execution; without it a year's month goes to one task.
+
     ``path`` puts the table's files in a folder of your choice instead of the warehouse.
     """
+    if replace and flights.sparkSession.catalog.tableExists(table):
+        columns = flights.sparkSession.table(table).columns
+        kept = flights.select(*columns).hint("rebalance", "Year", "Month")
+        settings, key = flights.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = settings.get(key)
+        settings.set(key, "dynamic")  # a table takes it from the session only
+        try:
+            kept.write.insertInto(table, overwrite=True)
+        finally:
+            settings.set(key, before)
+        return
     writer = (
         flights.hint("rebalance", "Year", "Month")
         .write.format("parquet")

@@ -2,7 +2,9 @@
 
 from skyledger.streaming.results import (
     all_batches,
+    compact,
     console_sink,
+    folder_names,
     latest_batch,
     latest_per_key,
     results_sink,
@@ -17,9 +19,11 @@ from skyledger.streaming.runner import (
 
 __all__ = [
     "all_batches",
+    "compact",
     "console_sink",
     "count_months",
     "drain",
+    "folder_names",
     "latest_batch",
     "latest_per_key",
     "results_sink",

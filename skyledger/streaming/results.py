@@ -1,7 +1,9 @@
 """Per-batch sinks, and readers of the results they leave.
 
 A results folder holds one sub-folder per micro-batch. A batch that is run again, after a lost
-driver or executor, overwrites its own sub-folder, so each batch counts once.
+driver or executor, overwrites its own sub-folder, so each batch counts once. A folder belongs to
+the query, known by its checkpoint, that first wrote to it; another one is refused, since its
+batches would stand among those of an earlier run.
 """
 
 from collections.abc import Callable, Sequence
@@ -24,11 +26,37 @@ def results_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             return
+        _claim(batch.sparkSession, path)
         answer(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The sub-folders of ``path``; none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(folder):
+        return []
+    return [entry.getPath().getName() for entry in store.listStatus(folder) if entry.isDirectory()]
+
+
+def _claim(spark: SparkSession, path: str) -> None:
+    """Mark the folder as this query's; stop if it is another one's."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    owners = [name for name in folder_names(spark, path) if name.startswith("_query=")]
+    if any(name != f"_query={query}" for name in owners):
+        raise ValueError(f"{path} holds the results of another query; use a new folder")
+    if not owners:
+        mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_query={query}")
+        mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(mark)
+
+
+def _batch_ids(spark: SparkSession, path: str) -> list[int]:
+    found = [name.partition("=")[2] for name in folder_names(spark, path) if name.startswith("batch_id=")]
+    return sorted(map(int, found))
+
+
 def console_sink(n: int = 10) -> BatchFunction:
     """Show the first ``n`` rows of every micro-batch, untruncated."""
 
@@ -39,21 +67,38 @@ def console_sink(n: int = 10) -> BatchFunction:
 
 
 def all_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The results of every batch so far, with their ``batch_id``."""
+    """The results of every batch so far, with their ``batch_id``; an empty frame before the first."""
+    if not _batch_ids(spark, path):
+        return spark.createDataFrame([], "batch_id bigint")
     results = spark.read.parquet(path)
     return results.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The results of the newest batch that had any."""
-    results = all_batches(spark, path)
-    newest = results.agg(F.max("batch_id").alias("batch_id"))
-    return results.where(F.col("batch_id") == newest.scalar())
+    """The results of the newest batch that had any, found by folder names; an empty frame before
+    the first batch."""
+    for batch_id in reversed(_batch_ids(spark, path)):
+        rows = spark.read.parquet(f"{path}/batch_id={batch_id}")
+        if not rows.isEmpty():
+            return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    return all_batches(spark, path)
 
 
 def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The newest row of every key, from a stream that writes changed rows only."""
     results = all_batches(spark, path)
+    if results.columns == ["batch_id"]:
+        return results
     values = [c for c in results.columns if c not in (*keys, "batch_id")]
     newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("newest")
     return results.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
+    """Write the newest row of every key to the new folder ``target``, as the newest batch.
+
+    Reading ``target`` gives what :func:`latest_per_key` gave on ``path``, without the history.
+    """
+    ids = _batch_ids(spark, path)
+    if ids:
+        latest_per_key(spark, path, keys).write.parquet(f"{target}/batch_id={ids[-1]}")

@@ -1,13 +1,16 @@
 """Run questions over streams of flight records."""
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators import month_year_counts
-from skyledger.plans.questions import QUESTIONS
+from skyledger.plans.questions import QUESTIONS, Question
 from skyledger.streaming.results import BatchFunction, results_sink
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_STARTING = threading.Lock()
 
 
 def start_stream(
@@ -17,11 +20,13 @@ def start_stream(
     output_mode: str = "update",
     available_now: bool = True,
     state_partitions: int | None = None,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Start a query that hands every micro-batch to ``on_batch``.
 
     ``available_now`` reads what is there, in batches of the source's size, and ends. Without
-    it the query waits for more; await it with ``spark.streams.awaitAnyTermination()``.
+    it the query waits for more, looking every ``interval`` (such as ``10 seconds``) if one is
+    given; await it with ``spark.streams.awaitAnyTermination()`` or stop it by its handle.
 
     Every micro-batch runs one task per state partition, and their number stays as first
     started. A roll-up has few groups however large its input, so ``state_partitions`` can be
@@ -29,7 +34,7 @@ def start_stream(
     """
     if state_partitions is not None:
         return _start_with_partitions(
-            state_partitions, stream, on_batch, checkpoint, output_mode, available_now
+            state_partitions, stream, on_batch, checkpoint, output_mode, available_now, None, interval
         )
     writer = (
         stream.writeStream.outputMode(output_mode)
@@ -38,18 +43,24 @@ def start_stream(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval is not None:
+        writer = writer.trigger(processingTime=interval)
     return writer.start()
 
 
 def _start_with_partitions(partitions: int, stream: DataFrame, *rest) -> StreamingQuery:
-    """A query keeps the settings its session had at the start, so they can go back after it."""
+    """A query keeps the settings its session had at the start, so they can go back after it.
+
+    Starts take turns. A batch query planned by another thread meanwhile may see the number.
+    """
     settings = stream.sparkSession.conf
-    before = settings.get(_PARTITIONS)
-    settings.set(_PARTITIONS, partitions)
-    try:
-        return start_stream(stream, *rest)
-    finally:
-        settings.set(_PARTITIONS, before)
+    with _STARTING:
+        before = settings.get(_PARTITIONS)
+        settings.set(_PARTITIONS, partitions)
+        try:
+            return start_stream(stream, *rest)
+        finally:
+            settings.set(_PARTITIONS, before)
 
 
 def drain(
@@ -58,18 +69,29 @@ def drain(
     checkpoint: str,
     output_mode: str = "update",
     state_partitions: int | None = None,
+    available_now: bool = True,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Run a query until it has read all that is there; raises what the query raised.
 
-    Returns the finished query, whose progress tells what each micro-batch read.
+    Returns the finished query, whose progress tells what each micro-batch read. Without
+    ``available_now`` it returns at once and the query goes on until it is stopped.
     """
     query = start_stream(
-        stream, on_batch, checkpoint, output_mode, state_partitions=state_partitions
+        stream, on_batch, checkpoint, output_mode, available_now, state_partitions, interval
     )
-    query.awaitTermination()
+    if available_now:
+        query.awaitTermination()
     return query
 
 
+def _question(name: str, airports: DataFrame | None) -> Question:
+    question = QUESTIONS[name]
+    if question.needs_airports and airports is None:
+        raise ValueError(f"{name} needs the airports")
+    return question
+
+
 def run_per_batch(
     name: str,
     stream: DataFrame,
@@ -78,17 +100,23 @@ def run_per_batch(
     airports: DataFrame | None = None,
     per: str | None = None,
     skip_empty: bool = False,
+    available_now: bool = True,
+    interval: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Answer a question for each micro-batch by itself; nothing is carried over.
 
     The answers depend on which files share a batch. They are those of the whole input only if
-    no group (month, or year for the top-k questions) is split between batches.
+    no group (month, or year for the top-k questions) is split between batches. ``options`` are
+    those of the question: ``k`` or ``threshold``.
     """
-    question = QUESTIONS[name]
+    question = _question(name, airports)
     sink = results_sink(
-        results, lambda batch: question.answer(batch, airports, per), skip_empty
+        results, lambda batch: question.answer(batch, airports, per, **options), skip_empty
+    )
+    return drain(
+        stream.select(*question.columns), sink, checkpoint, "update", None, available_now, interval
     )
-    return drain(stream.select(*question.columns), sink, checkpoint)
 
 
 def run_running(
@@ -99,22 +127,31 @@ def run_running(
     airports: DataFrame | None = None,
     per: str | None = None,
     state_partitions: int | None = None,
+    available_now: bool = True,
+    interval: str | None = None,
+    **options,
 ) -> StreamingQuery:
     """Answer a question for everything read so far, after each micro-batch.
 
     State holds the question's roll-up, whose size is that of its groups, so the answers do not
     depend on how the input is cut into files and batches.
     """
-    question = QUESTIONS[name]
-    sink = results_sink(results, lambda rollup: question.finish(rollup, airports, per))
-    rollup = question.rollup(stream.select(*question.columns))
-    return drain(rollup, sink, checkpoint, "complete", state_partitions)
+    question = _question(name, airports)
+    early, late = question.parted(options)
+    sink = results_sink(results, lambda rollup: question.finish(rollup, airports, per, **late))
+    rollup = question.rollup(stream.select(*question.columns), **early)
+    return drain(rollup, sink, checkpoint, "complete", state_partitions, available_now, interval)
 
 
 def count_months(
-    stream: DataFrame, results: str, checkpoint: str, state_partitions: int | None = None
+    stream: DataFrame,
+    results: str,
+    checkpoint: str,
+    state_partitions: int | None = None,
+    available_now: bool = True,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Running flight counts by month; each batch writes the counts that it changed."""
     counts = month_year_counts(stream.select("Year", "Month"))
     sink = results_sink(results, lambda changed: changed)
-    return drain(counts, sink, checkpoint, state_partitions=state_partitions)
+    return drain(counts, sink, checkpoint, "update", state_partitions, available_now, interval)

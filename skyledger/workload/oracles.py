@@ -16,7 +16,7 @@ flights AS (
               ELSE CAST(round(l_discount * 100) * 3 - 10 AS INTEGER) END AS "DepDelay",
          CASE WHEN l_returnflag = 'R' AND l_tax >= 0.07 THEN 1 ELSE 0 END AS "Cancelled",
          'N' || CAST(s_nationkey AS VARCHAR) AS "Origin",
-         'N' || CAST(c_nationkey AS VARCHAR) AS "Dest"
+         'N' || CAST(c_nationkey + 1 AS VARCHAR) AS "Dest"
   FROM lineitem
   LEFT JOIN supplier ON l_suppkey = s_suppkey
   LEFT JOIN orders ON l_orderkey = o_orderkey
@@ -26,7 +26,7 @@ flights AS (
 _AIRPORTS = """
 airports AS (
   SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS iata, n_name AS airport
-  FROM nation WHERE n_nationkey <> 24
+  FROM nation
 )"""
 
 _CARRIER_MONTHLY = """
@@ -155,9 +155,9 @@ last_delivery AS (
 
 _carrier_cells = ", ".join(
     f"max(value) FILTER (WHERE name = 'C{i}') AS \"C{i}\"" for i in range(20)
-)
+) + ", max(value) FILTER (WHERE name IS NULL) AS unknown"
 _month_cells = ", ".join(
-    f'max(value) FILTER (WHERE "Month" = {m}) AS m{m:02d}' for m in range(1, 13)
+    f'max(value) FILTER (WHERE "Month" = {m}) AS m{m:02d}' for m in range(13)
 )
 
 ORACLES: dict[str, str] = {
@@ -219,6 +219,9 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": _sql(_PROFILE + " GROUP BY ALL"),
     "bucketed_roundtrip": _sql(_PROFILE + " GROUP BY ALL"),
     "ingest_years": _sql(_PROFILE + ' WHERE "Year" IN (1998, 2000) GROUP BY ALL'),
+    "table_by_name": _sql(_PROFILE + ' WHERE "Year" IN (1998, 2000) GROUP BY ALL'),
+    "airports_csv": _sql("SELECT iata, airport FROM airports"),
+    "stream_month_year_counts_sql": _sql(_COUNT_SELECT),
     "stream_carrier_punctuality": _sql(_CARRIER_SELECT, _CARRIERS),
     "stream_worst_months": _sql(_MONTH_SELECT, _MONTHS),
     "stream_busiest_airports": _sql("SELECT * FROM busiest", _AIRPORTS, _AIRPORTS_YEARLY),

@@ -194,13 +194,34 @@ def ingest_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(sources.read_flights_parquet(spark, path))
 
 
+def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two years ingested twice, the second time in their own place, and read by the table's name."""
+    csv, path = scratch_dir(spark, "csv"), scratch_dir(spark, "bucketed")
+    sources.consolidate_csv(as_flights(flights(spark, sf_dir)), csv)
+    table = "flights_" + path.rsplit("-", 1)[1]
+    for _ in range(2):
+        plans.ingest(spark, csv, table, years=(1998, 2000), path=path, replace=True)
+    found = sources.read_flights_table(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    return _profile(found)
+
+
+def airports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airports from a CSV file with more columns, in another order."""
+    path = scratch_dir(spark, "airports")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
+    named = airports(spark, sf_dir).join(nation, F.col("iata") == F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
+    named.select("n_regionkey", "airport", "iata").write.option("header", True).csv(path)
+    return sources.read_airports(spark, path)
+
+
 # -- streams -------------------------------------------------------------------------------------
 
 
-def _batch_files(spark: SparkSession) -> int:
-    """Files per micro-batch: enough to occupy half the cluster, so that even the small
-    tables, which come as one file per year, take more than one batch."""
-    return max(1, spark.sparkContext.defaultParallelism // 2)
+# Bytes per micro-batch, whatever the cluster: some minutes' work of a large one.
+BATCH_BYTES = "100g"
+# A delivery is a run of its own; more of them than this is a damaged date column.
+MOST_YEARS = 200
 
 
 def _stream_running(spark: SparkSession, sf_dir: str, name: str, per: str | None) -> DataFrame:
@@ -208,7 +229,7 @@ def _stream_running(spark: SparkSession, sf_dir: str, name: str, per: str | None
     sources.write_per_year(_flights_for(spark, sf_dir, name), landing)
     streaming.run_running(
         name,
-        sources.stream_flights(spark, f"{landing}/*/", _batch_files(spark)),
+        sources.stream_flights(spark, f"{landing}/*/", max_bytes=BATCH_BYTES),
         results,
         scratch_dir(spark, "checkpoint"),
         airports(spark, sf_dir),
@@ -219,24 +240,36 @@ def _stream_running(spark: SparkSession, sf_dir: str, name: str, per: str | None
 
 
 def _stream_by_year(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Deliver one year after the other and answer for each as it arrives.
+    """Deliver one year after the other, in place, and answer for each as it arrives.
 
-    A delivery is one batch, however many files it takes. The loop runs once per year, of
-    which there are few; every step in it is a distributed job.
+    The data is written once, a folder per year. A delivery is one batch over its folder, however
+    many files that holds. The years come from the folders' names, and more than ``MOST_YEARS``
+    are refused, as each is a run of its own.
     """
-    staged, landing = scratch_dir(spark, "staged"), scratch_dir(spark, "landing")
-    results, checkpoint = scratch_dir(spark, "results"), scratch_dir(spark, "checkpoint")
-    sources.write_per_year(_flights_for(spark, sf_dir, name), staged)
-    arriving, named = spark.read.parquet(staged), airports(spark, sf_dir)
-    years = arriving.select("part_year").distinct().orderBy("part_year").collect()
-    for (year,) in years:
-        of_year = arriving.where(F.col("part_year").eqNullSafe(year)).drop("part_year")
-        of_year.write.parquet(f"{landing}/{year}")
-        stream = sources.stream_flights(spark, f"{landing}/*/", max_files=None)
-        streaming.run_per_batch(name, stream, results, checkpoint, named)
+    landing, results = scratch_dir(spark, "landing"), scratch_dir(spark, "results")
+    checkpoint, named = scratch_dir(spark, "checkpoint"), airports(spark, sf_dir)
+    sources.write_per_year(_flights_for(spark, sf_dir, name), landing)
+    years = streaming.folder_names(spark, landing)
+    if len(years) > MOST_YEARS:
+        raise ValueError(f"{len(years)} years to deliver; at most {MOST_YEARS} are")
+    for n, year in enumerate(sorted(years)):
+        stream = sources.stream_flights(spark, f"{landing}/{year}", max_files=None)
+        streaming.run_per_batch(name, stream, f"{results}/delivery={n}", f"{checkpoint}/{n}", named)
     return results
 
 
+def _all_deliveries(spark: SparkSession, results: str) -> DataFrame:
+    """The batches of every delivery, numbered by delivery."""
+    rows = spark.read.parquet(results)
+    return rows.drop("batch_id").withColumn("delivery", F.col("delivery").cast("bigint")).withColumnRenamed("delivery", "batch_id")
+
+
+def _last_delivery(spark: SparkSession, results: str) -> DataFrame:
+    last = max(int(name.partition("=")[2]) for name in streaming.folder_names(spark, results))
+    newest = streaming.latest_batch(spark, f"{results}/delivery={last}")
+    return newest.withColumn("batch_id", F.lit(last).cast("bigint"))
+
+
 def stream_carrier_punctuality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_stream_running(spark, sf_dir, "carrier_punctuality", None), "punctuality")
 
@@ -258,31 +291,48 @@ def stream_month_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = scratch_dir(spark, "results")
     checkpoint = scratch_dir(spark, "checkpoint")
     table = _bucketed(spark, sf_dir, ("Year", "Month"))
-    table_files = sources.stream_flights(spark, table, 8 * _batch_files(spark))
+    table_files = sources.stream_flights(spark, table, max_bytes=BATCH_BYTES)
     streaming.count_months(table_files, results, checkpoint, STATE_PARTITIONS)
     return streaming.latest_per_key(spark, results, ["Month", "Year"])
 
 
+def stream_month_year_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts in SQL over a temporary view of the stream."""
+    landing, results = scratch_dir(spark, "landing"), scratch_dir(spark, "results")
+    sources.write_per_year(flights(spark, sf_dir, ("Year", "Month")), landing)
+    stream = sources.stream_flights(spark, f"{landing}/*/", max_bytes=BATCH_BYTES)
+    view = "arriving_" + landing.rsplit("-", 1)[1]
+    counts = ops.month_year_counts_sql(stream.select("Year", "Month"), view)
+    streaming.drain(
+        counts,
+        streaming.results_sink(results, lambda changed: changed),
+        scratch_dir(spark, "checkpoint"),
+        state_partitions=STATE_PARTITIONS,
+    )
+    spark.catalog.dropTempView(view)
+    return streaming.latest_per_key(spark, results, ["Month", "Year"])
+
+
 def stream_all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The heat map as it fills up: worst months of each delivered year."""
-    months = streaming.all_batches(spark, _stream_by_year(spark, sf_dir, "worst_months"))
+    months = _all_deliveries(spark, _stream_by_year(spark, sf_dir, "worst_months"))
     return _rounded(months, "non_punctuality")
 
 
 def stream_all_batches_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line chart as it grows: carriers of each delivered year."""
-    carriers = streaming.all_batches(spark, _stream_by_year(spark, sf_dir, "carrier_punctuality"))
+    carriers = _all_deliveries(spark, _stream_by_year(spark, sf_dir, "carrier_punctuality"))
     return _rounded(carriers, "punctuality")
 
 
 def stream_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bars on show at the end: busiest airports of the year delivered last."""
-    return streaming.latest_batch(spark, _stream_by_year(spark, sf_dir, "busiest_airports"))
+    return _last_delivery(spark, _stream_by_year(spark, sf_dir, "busiest_airports"))
 
 
 def stream_latest_batch_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table on show at the end: busy paths of the year delivered last."""
-    return streaming.latest_batch(spark, _stream_by_year(spark, sf_dir, "busy_paths"))
+    return _last_delivery(spark, _stream_by_year(spark, sf_dir, "busy_paths"))
 
 
 _ALL: Sequence[Query] = (
@@ -310,11 +360,14 @@ _ALL: Sequence[Query] = (
     csv_roundtrip,
     bucketed_roundtrip,
     ingest_years,
+    table_by_name,
+    airports_csv,
     stream_carrier_punctuality,
     stream_worst_months,
     stream_busiest_airports,
     stream_busy_paths,
     stream_month_year_counts,
+    stream_month_year_counts_sql,
     stream_all_batches,
     stream_all_batches_carriers,
     stream_latest_batch,

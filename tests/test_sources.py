@@ -151,3 +151,16 @@ def test_per_year_layout(spark, tmp_path):
         assert len(files) == 1
     back = sources.read_flights_parquet(spark, f"{tmp_path}/y/*/")
     assert sorted(map(str, back.collect())) == sorted(map(str, flights.collect()))
+
+
+def test_table_by_name_is_read_by_splits_and_reloaded_in_place(spark, tmp_path, table):
+    flights = as_flights(hand.flights(spark))
+    for _ in range(2):
+        sources.write_bucketed(flights, table, str(tmp_path / "files"), replace=True)
+    sources.write_bucketed(flights.where("Year = 2001"), table, replace=True)
+    got = sources.read_flights_table(spark, table)
+    assert got.count() == flights.count()
+    assert hand.rows(ops.month_year_counts(got)) == hand.rows(ops.month_year_counts(flights))
+    assert "Exchange" in plan(ops.month_year_counts(got))
+    sources.write_bucketed(flights, table)
+    assert spark.table(table).count() == 2 * flights.count()

@@ -215,3 +215,55 @@ def test_errors_in_a_batch_surface(spark, by_year, tmp_path):
         streaming.drain(
             sources.stream_flights(spark, by_year), fail, str(tmp_path / "checkpoint")
         )
+
+
+def test_a_results_folder_belongs_to_one_query(spark, by_year, tmp_path):
+    results = str(tmp_path / "results")
+    stream = sources.stream_flights(spark, by_year)
+    streaming.run_per_batch("worst_months", stream, results, str(tmp_path / "one"))
+    streaming.run_per_batch("worst_months", stream, results, str(tmp_path / "one"))
+    before = hand.rows(streaming.latest_batch(spark, results))
+    with pytest.raises(Exception, match="another query"):
+        streaming.run_per_batch("worst_months", stream, results, str(tmp_path / "two"))
+    assert hand.rows(streaming.latest_batch(spark, results)) == before
+
+
+def test_no_results_yet(spark, tmp_path):
+    for read in (streaming.latest_batch, streaming.all_batches):
+        assert read(spark, str(tmp_path / "none")).collect() == []
+    assert streaming.latest_per_key(spark, str(tmp_path / "none"), ["Year"]).collect() == []
+
+
+def test_compact_keeps_the_newest_rows(spark, by_year, tmp_path):
+    results, small = str(tmp_path / "results"), str(tmp_path / "small")
+    streaming.count_months(sources.stream_flights(spark, by_year), results, str(tmp_path / "c"))
+    keys = ["Month", "Year"]
+    streaming.compact(spark, results, keys, small)
+    want = hand.rows(streaming.latest_per_key(spark, results, keys))
+    assert hand.rows(streaming.latest_per_key(spark, small, keys)) == want
+
+
+def test_missing_airports_are_told_at_the_start(spark, by_year, tmp_path):
+    with pytest.raises(ValueError, match="needs the airports"):
+        streaming.run_running("busy_paths", sources.stream_flights(spark, by_year), "r", "c")
+
+
+def test_a_named_run_can_go_on_and_take_options(spark, flights, by_year, tmp_path):
+    results, airports = str(tmp_path / "results"), hand.airports(spark)
+    query = streaming.run_running(
+        "busy_paths", sources.stream_flights(spark, by_year), results, str(tmp_path / "c"), airports,
+        available_now=False, interval="1 second", k=2,
+    )
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = streaming.latest_batch(spark, results).drop("batch_id")
+    assert hand.rows(got) == hand.rows(QUESTIONS["busy_paths"].answer(flights, airports, k=2))
+
+
+def test_batches_by_bytes(spark, by_year, tmp_path):
+    stream = sources.stream_flights(spark, by_year, max_bytes=1)
+    query = streaming.count_months(stream, str(tmp_path / "r"), str(tmp_path / "c"))
+    assert sorted(batch_rows(query)) == [5, 7]

@@ -34,12 +34,24 @@ def test_carrier_view(flights):
 def test_carrier_matrix(flights):
     view = plans.carrier_view(ops.carrier_punctuality(flights))
     matrix = plans.carrier_matrix(view, ["AA", "BB", "CC"])
-    assert hand.rows(matrix, "Year", "AA", "BB", "CC") == {
-        (2000, round(200 / 3, 9), 100.0, None),
-        (2001, 0.0, 100.0, None),
+    assert hand.rows(matrix, "Year", "AA", "BB", "CC", "unknown") == {
+        (2000, round(200 / 3, 9), 100.0, None, None),
+        (2001, 0.0, 100.0, None, 50.0),
     }
 
 
+def test_carrier_matrix_refuses_what_it_would_drop(flights):
+    view = plans.carrier_view(ops.carrier_punctuality(flights))
+    with pytest.raises(Exception, match="carrier outside the list: BB"):
+        plans.carrier_matrix(view, ["AA"]).collect()
+
+
+def test_months_matrix_keeps_the_unknown_month(spark):
+    months = spark.createDataFrame([(2000, None, 0.5), (2000, 3, 0.25)], "Year int, Month int, non_punctuality double")
+    got = plans.months_matrix(plans.months_view(months))
+    assert hand.rows(got, "Year", "m00", "m03") == {(2000, 50.0, 25.0)}
+
+
 def test_months_view(flights):
     view = plans.months_view(ops.worst_months(flights))
     assert hand.rows(view) == {
@@ -51,7 +63,7 @@ def test_months_view(flights):
     }
     assert [r.Month for r in view.collect()] == [3, 2, 2, 1, 1]
     matrix = plans.months_matrix(view)
-    assert len(matrix.columns) == 13
+    assert len(matrix.columns) == 14
     assert hand.rows(matrix, "Year", "m01", "m02", "m03", "m12") == {
         (2000, round(100 / 3, 9), 200.0, 0.0, None),
         (2001, 25.0, 0.0, None, None),
