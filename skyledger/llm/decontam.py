@@ -62,7 +62,8 @@ def contaminated(
     width: int = 5, radius: int = 21, broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """``doc_id, item_id, start, n_words, distance, similarity``: per document and item the most
-    similar window (the first of equals), if it reaches ``similarity``; ``start`` counts words.
+    similar window (of equals the first that begins with a shingle of an item), if it reaches
+    ``similarity``; ``start`` counts words.
 
     ``radius`` 21 of 64 bits holds pairs at similarity 0.75 (expected distance 11, deviation 3).
     The shingles of the items are broadcast up to ``broadcast_rows`` of them (counted), and joined
@@ -98,29 +99,34 @@ def contaminated(
     )
 
 
-def _matches(texts, item_rows, k, similarity, radius, broadcast_rows):
-    starts = item_rows.select("h", "size").distinct()
-    if starts.count() <= broadcast_rows:
-        starts = F.broadcast(starts)
+def _shingled(rows: DataFrame, k: int) -> DataFrame:
+    # words are a column first: inside the lambda they would be split again for every shingle
+    return rows.select("doc", words(F.col("text")).alias("w")).select("doc", F.size("w").alias("n"), shingles(F.col("w"), k).alias("g"))
 
-    def shingled(rows: DataFrame) -> DataFrame:
-        # words are a column first: inside the lambda they would be split again for every shingle
-        return rows.select("doc", words(F.col("text")).alias("w")).select("doc", shingles(F.col("w"), k).alias("g"))
 
+def _windows(texts: DataFrame, item_rows: DataFrame, k: int, broadcast_rows: int) -> DataFrame:
+    """``doc, start, size, shingles`` of every window to look at, each once."""
+    starts = item_rows.select("h", "size").distinct()
+    small = starts.count() <= broadcast_rows
+    rows = _shingled(texts, k)
+    start = F.least("pos", F.greatest(F.col("n") - F.col("size"), F.lit(0))).alias("start")
+    cut = F.slice("g", F.col("start") + 1, F.col("size") - (k - 1)).alias("shingles")
+    key = ["doc", "start", "size"]
     # outer, as the inner form makes the planner filter on the whole expression, below its columns
-    counted = shingled(texts).select("doc", F.size("g").alias("n"), "g")
-    spread = counted.select("doc", "n", F.posexplode_outer("g").alias("pos", "h")).where("h is not null")
-    last = F.greatest(F.col("n") + (k - 1) - F.col("size"), F.lit(0))
-    windows = stored(
-        spread.join(starts, "h").select("doc", F.least("pos", last).alias("start"), "size").distinct(), "bench-windows"
-    )
-    # the few texts with a window once more, now with their shingles in a row
-    hit = texts.join(windows.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
-    rows = shingled(hit).join(windows, "doc").select(
-        "doc", "start", "size", F.explode(F.slice("g", F.col("start") + 1, F.col("size") - (k - 1))).alias("h")
-    )
+    if small:  # the array is at hand where a shingle hits, so texts are neither shuffled nor read again
+        spread = rows.select("doc", "n", "g", F.posexplode_outer("g").alias("pos", "h")).where("h is not null")
+        hits = spread.join(F.broadcast(starts), "h").select("doc", start, "size", "g").select(*key, cut)
+        return hits.groupBy(*key).agg(F.any_value("shingles").alias("shingles"))
+    spread = rows.select("doc", "n", F.posexplode_outer("g").alias("pos", "h")).where("h is not null")
+    places = stored(spread.join(starts, "h").select("doc", start, "size").distinct(), "bench-places")
+    hit = texts.join(places.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    return _shingled(hit, k).join(places, "doc").select(*key, cut)
+
+
+def _matches(texts, item_rows, k, similarity, radius, broadcast_rows):
     key = ["doc", "start", "size"]
-    rows = stored(rows, "bench-rows")
+    windows = stored(_windows(texts, item_rows, k, broadcast_rows), "bench-windows")
+    rows = windows.select(*key, F.explode("shingles").alias("h"))
     prints = stored(_fingerprints(rows, key), "bench-prints")
     item_prints = _fingerprints(item_rows, ["item_id", "size"])
     cut = lambda df: df.withColumn("b", F.explode(_blocks(radius))).select("*", "b.block", "b.value").drop("b")
