@@ -12,7 +12,7 @@ connected needs no further comparing: each document is first checked against the
 node with the smallest key, and then only members outside a node's largest component are compared
 with all others, exhaustively where they are few, some levels deeper where they are not.
 
-Candidates are pre-checked on signatures with a wide margin; every link is confirmed on full sets.
+Candidates are pre-checked on sketches with a wide margin; every link is confirmed on full sets.
 """
 
 import hashlib
@@ -32,8 +32,10 @@ from skyledger.storage import stored
 @dataclass(frozen=True)
 class ChosenPath:
     """``similarity`` in percent. ``few``: so many members outside its largest component a node may
-    have to be compared exhaustively; the others go ``step`` levels deeper. ``margin``: how far below the similarity a signature may lie;
-    0.19 are five standard deviations of 128 orders at 0.75."""
+    have to be compared exhaustively, in blocks of ``block`` members; the others go ``step`` levels
+    deeper. ``sketch``: further orders, of which one byte of each token is kept for comparing, the
+    first quarter of them before all. ``deviations``: how many standard deviations of an estimate
+    a pair may lie below the similarity and still be confirmed on full sets."""
 
     similarity: int = 75
     width: int = 5
@@ -41,14 +43,29 @@ class ChosenPath:
     trees: int = 14
     depth: int = 2
     few: int = 64
+    block: int = 256
     step: int = 3
-    margin: float = 0.19
+    sketch: int = 512
+    deviations: float = 5.0
     seed: int = 7
 
     def signature(self, tokens: np.ndarray) -> np.ndarray:
-        ways = (odd(self.orders, self.seed) & U(0xFFFFFFFF)).astype("u4")[:, None]
+        return self._minima(tokens, self.orders, self.seed)
+
+    def sketch_of(self, tokens: np.ndarray) -> np.ndarray:
+        best = self._minima(tokens, self.sketch, self.seed + 1)
+        return (best * np.uint32(0x9E3779B1) >> np.uint32(24)).astype("u1")
+
+    def least(self, orders: int) -> float:
+        """The smallest share of equal tokens in an estimate from so many orders."""
+        wanted = self.similarity / 100
+        return wanted - self.deviations * (wanted * (1 - wanted) / orders) ** 0.5
+
+    @staticmethod
+    def _minima(tokens: np.ndarray, orders: int, seed: int) -> np.ndarray:
+        ways = (odd(orders, seed) & U(0xFFFFFFFF)).astype("u4")[:, None]
         short = (tokens >> U(32)).astype("u4")
-        best = np.full(self.orders, 0xFFFFFFFF, "u4")
+        best = np.full(orders, 0xFFFFFFFF, "u4")
         for at in range(0, len(short), 2048):
             np.minimum(best, (short[None, at : at + 2048] * ways).min(1), out=best)
         return best
@@ -132,18 +149,64 @@ def _deeper(rows: DataFrame, method: ChosenPath) -> DataFrame:
     return _arrow(rows.select("node", "digest", "signature"), work, "node long, digest binary")
 
 
+def _sketches(column: pa.Array, method: ChosenPath) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(-1, method.sketch)
+
+
 def _promising(pairs: DataFrame, method: ChosenPath) -> DataFrame:
-    """``a, b, likeness`` of the pairs (with signatures ``sa, sb``) that may be similar enough."""
-    least, kind = method.similarity / 100 - method.margin, "a binary, b binary, likeness double"
+    """``a, b, likeness`` of the pairs (with sketches ``sa, sb``) that may be similar enough."""
+    least, kind = method.least(method.sketch), "a binary, b binary, likeness double"
 
     def work(batch):
-        same = (_signatures(batch.column(2), method.orders) == _signatures(batch.column(3), method.orders)).mean(1)
+        same = (_sketches(batch.column(2), method) == _sketches(batch.column(3), method)).mean(1)
         keep = pa.array(np.flatnonzero(same >= least))
         yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), pa.array(same[same >= least])], ["a", "b", "likeness"])
 
     return _arrow(pairs.select("a", "b", "sa", "sb"), work, kind)
 
 
+def _compared(small: DataFrame, sketches: DataFrame, method: ChosenPath) -> DataFrame:
+    """``a, b, likeness``, a < b, of the promising pairs of different components in the nodes.
+
+    The members of a node outside its largest component are at most ``few``; they are sent to
+    blocks of about ``block`` members and compared there as arrays. So a node is copied once,
+    not once for each pair, and a large one is spread over many tasks."""
+    few, some = method.few, method.sketch // 4
+    entry = F.struct("digest", "root", "sketch")
+    rows = small.join(sketches, "digest").withColumn("blocks", F.ceil(F.col("members") / method.block))
+    whole = rows.withColumn("block", F.pmod(F.xxhash64("digest"), "blocks")).groupBy("node", "block").agg(F.collect_list(entry).alias("ys"))
+    apart = rows.where("root != main").groupBy("node").agg(F.collect_list(entry).alias("xs"), F.first("blocks").alias("blocks"))
+    apart = apart.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+
+    def work(batch):
+        xs, ys = batch.column(0), batch.column(1)
+        x_at, y_at = xs.offsets.to_numpy(), ys.offsets.to_numpy()
+        x, y = xs.values, ys.values
+        roots = pa.concat_arrays([x.field("root"), y.field("root")]).dictionary_encode().indices.to_numpy()
+        rx, ry = roots[: len(x)], roots[len(x) :]
+        sx, sy = _sketches(x.field("sketch"), method), _sketches(y.field("sketch"), method)
+        left, right, likeness = [], [], []
+        for i in range(len(batch)):
+            for k in range(x_at[i], x_at[i + 1], few):
+                m, n = slice(k, min(k + few, x_at[i + 1])), slice(y_at[i], y_at[i + 1])
+                same = (sx[m, None, :some] == sy[None, n, :some]).mean(2)
+                one, two = np.nonzero((same >= method.least(some)) & (rx[m, None] != ry[None, n]))
+                one, two = one + m.start, two + n.start
+                same = (sx[one] == sy[two]).mean(1)
+                good = same >= method.least(method.sketch)
+                left.append(one[good])
+                right.append(two[good])
+                likeness.append(same[good])
+        left, right = (np.concatenate([np.empty(0, "i8"), *z]).astype("i8") for z in (left, right))
+        likeness = np.concatenate([np.empty(0), *likeness])
+        yield pa.RecordBatch.from_arrays(
+            [x.field("digest").take(pa.array(left)), y.field("digest").take(pa.array(right)), pa.array(likeness)], ["a", "b", "likeness"]
+        )
+
+    found = _arrow(apart.join(whole, ["node", "block"]).select("xs", "ys"), work, "a binary, b binary, likeness double")
+    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, method: ChosenPath) -> DataFrame:
     """Those of the pairs (a, b) that are similar enough on their full sets."""
 
@@ -163,16 +226,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, method: ChosenPath) -> DataFra
 
 
 def _sets_of(documents: DataFrame, id_col: str, wanted: DataFrame, method: ChosenPath) -> DataFrame:
-    """``digest, tokens`` of the classes in ``wanted`` (digest, doc_id of one document of each)."""
+    """``digest, tokens, sketch`` of the classes in ``wanted`` (digest, doc_id of one document of each)."""
 
     def work(batch):
-        tokens = [shingle_set(t, method.width).tobytes() for t in batch.column(0).to_pylist()]
+        sets = [shingle_set(t, method.width) for t in batch.column(0).to_pylist()]
+        tokens = [s.tobytes() for s in sets]
         digests = [hashlib.blake2b(t, digest_size=16).digest() for t in tokens]
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(tokens, pa.binary())], ["digest", "tokens"])
+        sketches = [method.sketch_of(s).tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([pa.array(z, pa.binary()) for z in (digests, tokens, sketches)], ["digest", "tokens", "sketch"])
 
     rows = documents.select(F.col(id_col).alias("id"), F.col("text").cast("binary").alias("data"))
     ids = wanted.select("doc_id").distinct()
-    found = _arrow(rows.join(ids, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi").select("data"), work, "digest binary, tokens binary")
+    found = _arrow(rows.join(ids, F.col("id").eqNullSafe(F.col("doc_id")), "left_semi").select("data"), work, "digest binary, tokens binary, sketch binary")
     # an id may stand for several texts: only the wanted classes, each once
     return found.join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
 
@@ -198,12 +263,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
     nodes = stored(_shared(_start(classes, method)), "paths-nodes")
     live = nodes.select("digest").distinct()
     wanted = stored(classes.join(live, "digest").select("digest", "doc_id", "signature"), "paths-live")
-    sets = stored(_sets_of(documents, id_col, wanted, method), "paths-sets")
-    signatures = wanted.select("digest", "signature")
+    known = stored(_sets_of(documents, id_col, wanted, method), "paths-sets")
+    signatures, sketches, sets = wanted.select("digest", "signature"), known.select("digest", "sketch"), known.select("digest", "tokens")
 
     def likeliest(pairs: DataFrame) -> DataFrame:
         """Confirmed links of each ``b`` with its likeliest ``a``."""
-        pairs = pairs.distinct().join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
+        pairs = pairs.distinct().join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
         best = _promising(pairs, method).groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a"))
         return stored(_confirmed(best, sets, method), "paths-links")
 
@@ -217,20 +282,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
             F.max(F.struct("count", "root"))["root"].alias("main"),
             (F.sum("count") - F.max("count")).alias("outside"),
             F.count("*").alias("parts"),
+            F.sum("count").alias("members"),
         )
         return roots, stored(placed.join(state.where("parts > 1"), "node"), "paths-open")
 
     # every document against the smallest key of its nodes
     pivots = nodes.groupBy("node").agg(F.min("digest").alias("a"))
     links = likeliest(nodes.join(pivots, "node").where("a != digest").select("a", F.col("digest").alias("b")))
+    tried = None
     for _ in range(64):
         roots, left = unfinished(nodes, links)
         small = left.where(F.col("outside") <= method.few)
-        minor = small.where("root != main").select("node", F.col("digest").alias("x"), F.col("root").alias("rx"))
-        pairs = minor.join(small.select("node", F.col("digest").alias("y"), F.col("root").alias("ry"), "main"), "node")
-        pairs = pairs.where("rx != ry and (ry = main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        pairs = pairs.distinct().join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
-        found = stored(_confirmed(_promising(pairs, method), sets, method), "paths-links")
+        pairs = _compared(small, sketches, method)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "paths-pairs")
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+        found = stored(_confirmed(pairs, sets, method), "paths-links")
         links = links.unionByName(found)
         large = left.where(F.col("outside") > method.few).select("node", "digest").join(signatures, "digest")
         nodes = stored(_shared(_deeper(large, method)), "paths-nodes")
