@@ -26,3 +26,13 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         if nxt.where("was != root").isEmpty():
             return nxt.select("key", "root")
         labels = nxt.select("key", "root")
+
+
+def extended(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, root`` as ``components`` gave it, after more ``links``: only the components that these
+    touch are connected, as one key each, so the work follows the new links."""
+    for side in ("a", "b"):
+        links = links.join(roots.toDF(side, "root"), side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
+    met = components(links, "components-met")
+    old = roots.join(met.toDF("root", "above"), "root", "left").select("key", F.coalesce("above", "root").alias("root"))
+    return old.unionByName(met.join(roots, "key", "left_anti"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.components import components
+from skyledger.llm.components import components, extended
 from skyledger.llm.hashing import U, mix, odd, shingle_set
 from skyledger.storage import stored
 
@@ -272,9 +272,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
         best = _promising(pairs, method).groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a"))
         return stored(_confirmed(best, sets, method), "paths-links")
 
-    def unfinished(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The components so far; the nodes that hold several of them, with each member's."""
-        roots = components(links, "paths-roots")
+    def unfinished(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+        """The nodes that hold several components, with each member's."""
         placed = nodes.join(roots.withColumnRenamed("key", "digest"), "digest", "left")
         placed = placed.select("node", "digest", F.coalesce("root", "digest").alias("root"))
         sizes = placed.groupBy("node", "root").count()
@@ -284,25 +283,24 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
             F.count("*").alias("parts"),
             F.sum("count").alias("members"),
         )
-        return roots, stored(placed.join(state.where("parts > 1"), "node"), "paths-open")
+        return stored(placed.join(state.where("parts > 1"), "node"), "paths-open")
 
     # every document against the smallest key of its nodes
     pivots = nodes.groupBy("node").agg(F.min("digest").alias("a"))
-    links = likeliest(nodes.join(pivots, "node").where("a != digest").select("a", F.col("digest").alias("b")))
+    roots = components(likeliest(nodes.join(pivots, "node").where("a != digest").select("a", F.col("digest").alias("b"))), "paths-roots")
     tried = None
     for _ in range(64):
-        roots, left = unfinished(nodes, links)
+        left = unfinished(nodes, roots)
         small = left.where(F.col("outside") <= method.few)
         pairs = _compared(small, sketches, method)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "paths-pairs")
         tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
         found = stored(_confirmed(pairs, sets, method), "paths-links")
-        links = links.unionByName(found)
+        if not found.isEmpty():
+            roots = stored(extended(roots, found), "paths-roots")
         large = left.where(F.col("outside") > method.few).select("node", "digest").join(signatures, "digest")
         nodes = stored(_shared(_deeper(large, method)), "paths-nodes")
         if nodes.isEmpty():
-            if not found.isEmpty():
-                roots = components(links, "paths-roots")
             break
     else:
         raise RuntimeError("nodes do not part: more than 64 levels")

@@ -297,3 +297,16 @@ def test_token_counts(spark, odd_rows, none):
     for r in got:
         assert r.n_tokens == len(plain.encode(r.text or "", add_special_tokens=False).ids) and r.over_limit == (r.n_tokens > 2048)
     assert tokens.count_tokens(none, path).collect() == []
+
+
+def test_components_extended(spark):
+    """Connecting new links to known components gives what connecting all links at once gives."""
+    from skyledger.llm.components import components, extended
+
+    old, new = [(1, 2), (2, 3), (7, 8), (20, 21)], [(3, 8), (8, 3), (30, 31), (31, 20), (1, 3), (5, 5)]
+    frame = lambda rows: spark.createDataFrame(rows, "a int, b int")
+    got = {tuple(r) for r in extended(components(frame(old)), frame(new)).collect()}
+    assert got == {tuple(r) for r in components(frame(old + new)).collect()}
+    assert {k: r for k, r in got} == {1: 1, 2: 1, 3: 1, 7: 1, 8: 1, 20: 20, 21: 20, 30: 20, 31: 20}
+    none = {tuple(r) for r in extended(components(frame(old)), frame([])).collect()}
+    assert none == {tuple(r) for r in components(frame(old)).collect()}
