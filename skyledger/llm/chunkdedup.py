@@ -23,8 +23,9 @@ _GEAR = (mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15)) >> U(32)).astyp
 
 @dataclass(frozen=True)
 class Chunks:
-    """A chunk has more than ``reach`` bytes, about twice as many on average, and ``most`` at most
-    where the text itself sets no cut."""
+    """A chunk has about twice ``reach`` bytes on average. The first and the last one of a text have
+    more than ``reach``, unless the text itself has no more; between them, moving cuts to word starts
+    can shorten one. Where the text itself sets no cut, a chunk has ``most`` + ``reach`` at most."""
 
     reach: int = 32
     most: int = 512
@@ -57,10 +58,11 @@ class Chunks:
         at = np.searchsorted(starts, found)
         nxt = np.append(starts, n)[at]
         found = np.where(nxt - found <= self.shift, nxt, self._whole(raw, found))
+        found = found[n - found > w]  # a cut near the end would leave a last chunk of a word or two
         edges = np.unique(np.concatenate([[0], found, [n]]))
         gaps = np.diff(edges)
-        if gaps.max() > self.most:
-            more = [np.arange(a + self.most, b, self.most) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > self.most]
+        if gaps.max() > self.most + w:
+            more = [np.arange(a + self.most, b - w, self.most) for a, b in zip(edges[:-1], edges[1:], strict=True)]
             edges = np.unique(np.concatenate([edges, self._whole(raw, np.concatenate(more))]))
         return edges[1:]
 

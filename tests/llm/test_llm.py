@@ -119,6 +119,19 @@ def test_substring_dedup_against_brute_force(spark, odd_rows, none):
     assert chunkdedup.dedup_substrings(none).collect() == []
 
 
+def test_common_endings_stay(spark):
+    """Unrelated documents that end in the same word lose nothing, and no text ends in a short chunk."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 8)))
+    rows = [(i, " ".join(word() for _ in range(60)) + " finally.") for i in range(400)]
+    out = chunkdedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_text) for r in out} == set(rows)
+    method = chunkdedup.Chunks()
+    for data in [t.encode() for _, t in rows] + [b"a" * n for n in range(500, 1200, 7)]:
+        cuts = method.cuts(np.frombuffer(data, "u1"))
+        assert len(cuts) == 1 or cuts[-1] - cuts[-2] > method.reach
+
+
 def test_near_duplicates_against_brute_force(spark, odd_rows, none):
     rnd, rows = random.Random(3), []
     for g in range(6):
