@@ -1,10 +1,16 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes: each byte's random number enters at the bottom and has left the
-top 32 bytes later. A cut is set where the hash is the smallest of all within ``reach`` bytes on
+top 8 bytes later. A cut is set where the hash is the smallest of all within ``reach`` bytes on
 either side, and moved to the next start of a word. A cut thus depends on the text near it only,
-so an insertion shifts chunks without changing those behind it. Chunks are told apart by digest;
-each is kept where it occurs first, in the order of document ids and places.
+so an insertion shifts chunks without changing those behind it, and a passage of 50 words holds
+chunks to within some 20 bytes of its edges.
+
+Single chunks are short and recur by chance, so they are not what is compared. At every chunk
+begins a run of neighbouring chunks that add up to ``least`` bytes; runs are told apart by digest.
+Each run is kept where it occurs first, in the order of document ids and places, and cut out
+elsewhere. Whatever goes is thus part of a repeat of ``least`` bytes at least, or a whole text
+shorter than that which repeats another whole text.
 """
 
 import hashlib
@@ -17,27 +23,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.hashing import U, mix, word_spans
+from skyledger.storage import stored
 
 _GEAR = (mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15)) >> U(32)).astype("u4")
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """A chunk has about twice ``reach`` bytes on average. The first and the last one of a text have
+    """``bits``: how far the hash moves for each byte. A chunk has about twice ``reach`` bytes on average. The first and the last one of a text have
     more than ``reach``, unless the text itself has no more; between them, moving cuts to word starts
-    can shorten one. Where the text itself sets no cut, a chunk has ``most`` + ``reach`` at most."""
+    can shorten one. Where the text itself sets no cut, a chunk has ``most`` + ``reach`` at most.
+    ``least``: the bytes that neighbouring chunks must add up to before they count as a repeat."""
 
-    reach: int = 32
+    reach: int = 12
     most: int = 512
     shift: int = 64
+    bits: int = 4
+    least: int = 100
 
     def gear(self, raw: np.ndarray) -> np.ndarray:
         """The rolling hash after each byte, from windows of doubling width."""
-        h = _GEAR[raw]
-        for bits in (1, 2, 4, 8, 16):
+        h, width = _GEAR[raw], 1
+        while width * self.bits < 32:
             wider = h.copy()
-            wider[bits:] += h[:-bits] << np.uint32(bits)
-            h = wider
+            wider[width:] += h[:-width] << np.uint32(width * self.bits)
+            h, width = wider, width * 2
         return h
 
     def cuts(self, raw: np.ndarray) -> np.ndarray:
@@ -66,6 +76,16 @@ class Chunks:
             edges = np.unique(np.concatenate([edges, self._whole(raw, np.concatenate(more))]))
         return edges[1:]
 
+    def runs(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the runs: from each chunk on, as many as make ``least`` bytes. A text
+        shorter than that is one run."""
+        cuts = self.cuts(raw)
+        if len(raw) <= self.least:
+            return np.zeros(min(len(raw), 1), "i8"), cuts[-1:]
+        starts = np.append(0, cuts[:-1])
+        starts = starts[len(raw) - starts >= self.least]
+        return starts, cuts[np.searchsorted(cuts, starts + self.least)]
+
     @staticmethod
     def _whole(raw: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """Cuts moved to the next start of a UTF-8 character."""
@@ -83,8 +103,8 @@ def _rows(documents: DataFrame, id_col: str) -> DataFrame:
     return documents.select(F.col(id_col).alias("id"), F.xxhash64(data).alias("mark"), data.alias("data"))
 
 
-def chunk_table(documents: DataFrame, id_col: str = "doc_id", method: Chunks | None = None) -> DataFrame:
-    """``id, mark, start, end, d1, d2``: every chunk with its place in bytes and its 128-bit digest."""
+def run_table(documents: DataFrame, id_col: str = "doc_id", method: Chunks | None = None) -> DataFrame:
+    """``id, mark, start, end, d1, d2``: every run with its place in bytes and its 128-bit digest."""
     method = method or Chunks()
     rows = _rows(documents, id_col)
     kind = f"id {dict(rows.dtypes)['id']}, mark long, start int, end int, d1 long, d2 long"
@@ -94,17 +114,12 @@ def chunk_table(documents: DataFrame, id_col: str = "doc_id", method: Chunks | N
         for batch in batches:
             owner, start, end, digests = [], [], [], []
             for i, data in enumerate(batch.column(2).to_pylist()):
-                cuts = method.cuts(np.frombuffer(data, "u1"))
-                if not len(cuts):
-                    continue
-                a = 0
-                for b in cuts.tolist():
-                    digests.append(hashlib.blake2b(data[a:b], digest_size=16).digest())
-                    a = b
-                start.append(np.append(0, cuts[:-1]))
-                end.append(cuts)
-                owner.append(np.full(len(cuts), i))
-            if not owner:
+                starts, ends = method.runs(np.frombuffer(data, "u1"))
+                digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                start.append(starts)
+                end.append(ends)
+                owner.append(np.full(len(starts), i))
+            if not digests:
                 continue
             own = pa.array(np.concatenate(owner))
             pair = np.frombuffer(b"".join(digests), "i8").reshape(-1, 2)
@@ -117,35 +132,68 @@ def chunk_table(documents: DataFrame, id_col: str = "doc_id", method: Chunks | N
 
 
 def repeated_spans(documents: DataFrame, id_col: str = "doc_id", method: Chunks | None = None) -> DataFrame:
-    """``id, mark, spans``: per document its repeated chunks, ``array<struct<start, end, first>>``."""
-    chunks = chunk_table(documents, id_col, method)
+    """``id, mark, gone, repeated``: per document with repeated runs, the spans to cut out in order
+    (``array<struct<start, end>>``, joined where they overlap or touch) and the bytes in repeated
+    runs, first places included."""
+    runs = run_table(documents, id_col, method)
+    # half the digest tells which runs may be repeated, so that only those carry their places on
+    many = runs.groupBy("d1").count().where("count > 1").select("d1")
+    runs = stored(runs.join(many, "d1"), "chunks-repeated")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "start")
-    seen = chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("place")).where("n > 1")
-    hits = chunks.join(seen.select("d1", "d2", "place"), ["d1", "d2"])
+    seen = runs.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("place")).where("n > 1")
+    hits = runs.join(seen.select("d1", "d2", "place"), ["d1", "d2"])
     first = place.eqNullSafe(F.col("place"))
-    spans = F.collect_set(F.struct("start", "end", first.alias("first")))
-    return hits.groupBy("id", "mark").agg(F.array_sort(spans).alias("spans"))
+    spans = F.array_sort(F.collect_set(F.struct("start", "end", first.alias("first"))))
+    grouped = hits.groupBy("id", "mark").agg(spans.alias("spans"))
+    kind = f"id {dict(grouped.dtypes)['id']}, mark long, gone array<struct<start:int,end:int>>, repeated long"
+
+    def joined(starts, ends):
+        """Spans in order, as ends grow with starts, without overlap."""
+        new = np.append(True, starts[1:] > ends[:-1]) if len(starts) else np.empty(0, bool)
+        return starts[new], ends[np.append(new[1:], True)] if len(starts) else ends
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(2)
+            at, flat = spans.offsets.to_numpy(), spans.values
+            start, end = flat.field("start").to_numpy(), flat.field("end").to_numpy()
+            first = flat.field("first").to_numpy(zero_copy_only=False)
+            begins, ends, counts, repeated = [], [], [0], []
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                every = joined(start[a:b], end[a:b])
+                gone = joined(start[a:b][~first[a:b]], end[a:b][~first[a:b]])
+                begins.append(gone[0])
+                ends.append(gone[1])
+                counts.append(len(gone[0]))
+                repeated.append(int((every[1] - every[0]).sum()))
+            if not repeated:
+                continue
+            pair = pa.StructArray.from_arrays([pa.array(np.concatenate(x).astype("i4")) for x in (begins, ends)], ["start", "end"])
+            gone = pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype("i4")), pair)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), gone, pa.array(repeated, pa.int64())], ["id", "mark", "gone", "repeated"])
+
+    return grouped.mapInArrow(tasks, kind)
 
 
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", method: Chunks | None = None) -> DataFrame:
     """``documents`` with ``kept_text`` (repeats cut out), ``removed_bytes``, ``repeated_bytes`` (in
-    chunks that occur more than once, first places included) and ``removed_spans``.
+    runs that occur more than once, first places included) and ``removed_spans`` (apart from each other).
 
     Defined results: null text has nothing to remove and stays null; empty text stays empty; of
-    chunks with equal bytes the first by id (null last), then by text and place, is kept, the
+    runs with equal bytes the first by id (null last), then by text and place, is kept, the
     others go, in the same document too; rows repeated with the same id and text are one document
     and are treated alike; a text may be left empty; an empty table gives no rows; columns of the
     input named like the new ones are replaced.
     """
     new = ["kept_text", "removed_bytes", "repeated_bytes", "removed_spans"]
     own = [c for c in documents.columns if c not in new]
-    spans = repeated_spans(documents, id_col, method).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "spans")
+    spans = repeated_spans(documents, id_col, method).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "gone", "repeated")
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     rows = documents.select(F.struct(*own).alias("row"), F.col(id_col).alias("__own"), mark.alias("__at"), F.col("text").alias("__text"))
     rows = rows.join(spans, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__at") == F.col("__mark")), "left")
-    gone = F.coalesce(F.filter("spans", lambda s: ~s["first"]), F.array().cast("array<struct<start:int,end:int,first:boolean>>"))
-    rows = rows.select("row", F.col("__text").cast("binary").alias("data"), gone.alias("gone"), "spans")
-    width = lambda spans: F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.lit(0))
+    gone = F.coalesce("gone", F.array().cast("array<struct<start:int,end:int>>"))
+    rows = rows.select("row", F.col("__text").cast("binary").alias("data"), gone.alias("gone"), F.coalesce("repeated", F.lit(0)).alias("repeated"))
+    width = F.aggregate("gone", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     # what is kept lies between the spans that go
     ends = F.concat(F.transform("gone", lambda s: s["start"]), F.array(F.length("data")))
     begins = F.concat(F.array(F.lit(0)), F.transform("gone", lambda s: s["end"]))
@@ -157,7 +205,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", method: Chunk
     return rows.select(
         "row.*",
         text.alias("kept_text"),
-        width(F.col("gone")).cast("long").alias("removed_bytes"),
-        width(F.col("spans")).cast("long").alias("repeated_bytes"),
+        width.alias("removed_bytes"),
+        F.col("repeated").cast("long").alias("repeated_bytes"),
         F.size("gone").cast("long").alias("removed_spans"),
     )

@@ -132,6 +132,40 @@ def test_common_endings_stay(spark):
         assert len(cuts) == 1 or cuts[-1] - cuts[-2] > method.reach
 
 
+def test_passages_are_found_by_length(spark):
+    """Of a passage that a second document repeats, how much goes, by its words; clean text stays."""
+    rnd = random.Random(15)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 6)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows, inside = [], {}
+    for n in (51, 60, 100, 400):
+        for _ in range(60):
+            passage = some(n)
+            rows.append((len(rows), f"{some(40)} {passage} {some(40)}"))
+            before = some(40)
+            inside[len(rows)] = (n, len(before) + 1, len(before) + 1 + len(passage))
+            rows.append((len(rows), f"{before} {passage} {some(40)}"))
+    share = {}
+    for r in chunkdedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        if r.doc_id not in inside:
+            assert r.kept_text == rows[r.doc_id][1] and r.removed_bytes == 0
+            continue
+        n, a, b = inside[r.doc_id]
+        text = rows[r.doc_id][1]
+        # what stays is the text on both sides of one cut, which lies within the passage
+        assert r.removed_spans == 1 and r.kept_text.startswith(text[:a]) and r.kept_text.endswith(text[b:])
+        share.setdefault(n, []).append(r.removed_bytes / (b - a))
+    assert min(share[51]) > 0.5 and np.mean(share[51]) > 0.8 and np.mean(share[100]) > 0.9 and np.mean(share[400]) > 0.97
+
+
+def test_short_repeats_stay(spark):
+    """What is repeated is short of ``least`` bytes: clean text that chunks alone would cut."""
+    phrase = "as has been said before in other places and by others as well"  # 62 bytes
+    rows = [(i, f"{prose(400 + i, 40, EN + DE)} {phrase} {prose(500 + i, 40, EN + DE)}") for i in range(30)]
+    out = chunkdedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_text) for r in out} == set(rows)
+
+
 def test_near_duplicates_against_brute_force(spark, odd_rows, none):
     rnd, rows = random.Random(3), []
     for g in range(6):
