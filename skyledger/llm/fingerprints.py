@@ -5,9 +5,7 @@ selects the few smallest numbered k-mers, which are put back into the order in w
 the text and hashed as a tuple. Two texts agree in a lane if they select the same k-mers in the
 same order; the share of agreeing lanes is their likeness.
 
-k-mers run over code points. To keep the work small, only those k-mers take part whose own hash
-falls into one of ``thin`` classes (the smallest one if none does): a choice that depends on the
-k-mer alone, so it is the same in every text that holds it.
+k-mers run over code points, and all of them take part.
 """
 
 import hashlib
@@ -29,12 +27,11 @@ class OrderMinHash:
     k: int = 8
     tuple_size: int = 2
     lanes: int = 64
-    thin: int = 4
     seed: int = 3
     block: int = 2048
 
     def kmers(self, text: str) -> np.ndarray:
-        """Hashes of the k-mers that take part, in text order."""
+        """Hashes of the k-mers, in text order."""
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(U) + U(1)
         if len(codes) < self.k:
             codes = np.concatenate([codes, np.zeros(self.k - len(codes), U)])
@@ -43,9 +40,7 @@ class OrderMinHash:
             h, width = h[:-width] + h[width:] * ways[width], width * 2
         for j in range(width, self.k):
             h = h[:-1] + codes[j : j + len(h) - 1] * ways[j]
-        h = mix(h)
-        part = h[h % U(self.thin) == 0]
-        return part if len(part) else h[h.argmin()][None]
+        return mix(h)
 
     def lanes_of(self, text: str) -> np.ndarray:
         """One 16-bit number a lane; zeros for the empty text."""

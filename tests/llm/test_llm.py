@@ -217,6 +217,22 @@ def test_order_min_hash():
         assert near(text, text) == 1
 
 
+def test_short_texts_show_their_edits():
+    """All nine k-mers of 16 code points take part: lanes differ, and an edit anywhere shows."""
+    method, rnd = fingerprints.OrderMinHash(), random.Random(6)
+    prints, between = set(), 0
+    for _ in range(300):
+        text = "".join(rnd.choice("abcdefghij klmnop") for _ in range(16))
+        lanes = method.lanes_of(text)
+        assert len(method.kmers(text)) == 9 and len(set(lanes.tolist())) > 4
+        for at in (0, 15):
+            changed = method.lanes_of(text[:at] + "Z" + text[at + 1 :])
+            assert (changed != lanes).any()
+            between += bool((changed == lanes).any())
+        prints.add(method.as_text(lanes))
+    assert len(prints) == 300 and between > 500
+
+
 def test_fingerprints_of_neighbours(spark, odd_rows, none):
     rows = [(i, t) for i, t in enumerate([prose(1, 50), "", None, "short", prose(2, 90), prose(3, 30)])]
     got = {r.doc_id: r for r in fingerprints.with_neighbours(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
