@@ -7,7 +7,7 @@
 5. Mixing: documents are repeated to the target weights of their sources.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import chunkdedup, decontam, langid, mixing, neardup
@@ -17,17 +17,29 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.3
 
 
+def _key() -> Column:
+    """Tells rows apart by id and text, so that rows of equal or no id are judged one by one. In
+    order of ids, null last."""
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text.alias("text_md5"))
+
+
+def _listed(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined with ``keys`` (one column)."""
+    keys = keys.toDF("_key").distinct().select(F.col("_key.doc_id").alias("_id"), F.col("_key.text_md5").alias("_md5"))
+    rows = docs.withColumn("_own", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_md5")), how).select(*COLUMNS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify(docs.select(*COLUMNS))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group: rows that repeat an id count once as well."""
-    groups = neardup.near_duplicates(docs.select("doc_id", "text"))
-    kept = groups.where("kept").select("doc_id").distinct()
-    stay = docs.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return stay.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    """One row of each group: rows that repeat an id with its text count once as well."""
+    groups = neardup.near_duplicates(docs.select(_key().alias("key"), "text"), "key")
+    return _listed(docs, groups.where("kept").select("doc_id"), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +49,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = stored(decontam.contaminated(docs, items).select(F.col("doc_id").alias("_id")).distinct(), "pipeline-hits")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+    hit = stored(decontam.contaminated(docs.select(_key().alias("key"), "text"), items, "key").select("doc_id"), "pipeline-hits")
+    return _listed(docs, hit, "left_anti")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
