@@ -4,7 +4,7 @@ A gear hash rolls over the bytes: each byte's random number enters at the bottom
 top 8 bytes later. A cut is set where the hash is the smallest of all within ``reach`` bytes on
 either side, and moved to the next start of a word. A cut thus depends on the text near it only,
 so an insertion shifts chunks without changing those behind it, and a passage of 50 words holds
-chunks to within some 20 bytes of its edges.
+chunks to within some 20 bytes of its edges on average.
 
 Single chunks are short and recur by chance, so they are not what is compared. At every chunk
 begins a run of neighbouring chunks that add up to ``least`` bytes; runs are told apart by digest.
