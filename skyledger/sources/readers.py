@@ -50,16 +50,18 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_flights(
-    spark: SparkSession, path: str, max_files: int | None = 1, max_bytes: int | str | None = None
+    spark: SparkSession, path: str, max_files: int | None = 1, max_bytes: int | None = None
 ) -> DataFrame:
     """Parquet files as an unbounded stream, ``max_files`` new ones per micro-batch.
 
-    ``max_bytes`` (such as ``100g``) sizes micro-batches by bytes instead, whatever the files'
-    number. With neither a micro-batch takes all files that are new. Select the columns a
+    ``max_bytes`` (a whole number; such as ``100 << 30``) sizes micro-batches by bytes instead,
+    whatever the files' number. With neither a micro-batch takes all files that are new. Select the columns a
     query needs before handing the stream to a per-batch function: nothing is pruned after it.
     """
     reader = spark.readStream.schema(FLIGHTS)
     if max_bytes is not None:
+        if not isinstance(max_bytes, int) or max_bytes < 1:
+            raise ValueError(f"max_bytes must be a positive whole number, not {max_bytes!r}")
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

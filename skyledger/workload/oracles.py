@@ -220,7 +220,7 @@ ORACLES: dict[str, str] = {
     "bucketed_roundtrip": _sql(_PROFILE + " GROUP BY ALL"),
     "ingest_years": _sql(_PROFILE + ' WHERE "Year" IN (1998, 2000) GROUP BY ALL'),
     "table_by_name": _sql(_PROFILE + ' WHERE "Year" IN (1998, 2000) GROUP BY ALL'),
-    "airports_csv": _sql("SELECT iata, airport FROM airports"),
+    "airports_csv": _sql("SELECT iata, airport FROM airports", _AIRPORTS),
     "stream_month_year_counts_sql": _sql(_COUNT_SELECT),
     "stream_carrier_punctuality": _sql(_CARRIER_SELECT, _CARRIERS),
     "stream_worst_months": _sql(_MONTH_SELECT, _MONTHS),

@@ -219,7 +219,7 @@ def airports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Bytes per micro-batch, whatever the cluster: some minutes' work of a large one.
-BATCH_BYTES = "100g"
+BATCH_BYTES = 100 << 30
 # A delivery is a run of its own; more of them than this is a damaged date column.
 MOST_YEARS = 200
 

@@ -1,7 +1,6 @@
 """What the plans must look like for large inputs."""
 
 import re
-import tempfile
 from types import SimpleNamespace
 
 import pytest
@@ -13,7 +12,7 @@ from skyledger.workload import tables
 from skyledger.workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-STORING = ("stream_", "csv_", "bucketed_", "ingest_")
+STORING = ("stream_", "csv_", "bucketed_", "ingest_", "table_", "airports_csv")
 BATCH = [name for name in QUERIES if not name.startswith(STORING)]
 
 
@@ -128,10 +127,7 @@ def test_scratch_folder_follows_the_session(spark):
 
 
 def test_scratch_folder_of_a_session_that_names_none():
-    def session(master):
-        conf = SimpleNamespace(get=lambda key, default: default)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-    assert scratch_dir(session("local[2]"), "x").startswith(tempfile.gettempdir())
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(session("yarn"), "x")
+    """The warehouse stands in: it is shared, unlike a machine's own temporary folder."""
+    settings = {"spark.sql.warehouse.dir": "store:/warehouse"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
+    assert scratch_dir(session, "x").startswith("store:/warehouse/")

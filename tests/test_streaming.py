@@ -8,6 +8,7 @@ from skyledger import operators as ops
 from skyledger import sources, streaming
 from skyledger.plans import QUESTIONS
 from skyledger.schema import as_flights
+from skyledger.workload.queries import BATCH_BYTES
 
 
 @pytest.fixture(scope="module")
@@ -263,6 +264,15 @@ def test_a_named_run_can_go_on_and_take_options(spark, flights, by_year, tmp_pat
     assert hand.rows(got) == hand.rows(QUESTIONS["busy_paths"].answer(flights, airports, k=2))
 
 
+def test_the_workloads_batch_size_is_one_the_source_takes(spark, flights, by_year, tmp_path):
+    stream = sources.stream_flights(spark, by_year, max_bytes=BATCH_BYTES)
+    query = streaming.count_months(stream, str(tmp_path / "r"), str(tmp_path / "c"))
+    assert batch_rows(query) == [12]
+    for wrong in ("100g", 0):
+        with pytest.raises(ValueError, match="max_bytes"):
+            sources.stream_flights(spark, by_year, max_bytes=wrong)
+
+
 def test_batches_by_bytes(spark, by_year, tmp_path):
     stream = sources.stream_flights(spark, by_year, max_bytes=1)
     query = streaming.count_months(stream, str(tmp_path / "r"), str(tmp_path / "c"))
