@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, chunkdedup, decontam, fingerprints, langid, mixing, neardup, quality, tokens, warc
+from skyledger.llm import align, chat, chunkdedup, decontam, fingerprints, langid, mixing, neardup, pieces, quality, tokens, variants, warc
 
 
 def _table(spark, sf_dir, name):
@@ -67,6 +67,32 @@ def op10_token_counts(spark, sf_dir, tokenizer="word_bpe_49k.json"):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def _hex(text):
+    return F.sha2(F.col(text).cast("binary"), 256)
+
+
+def op11_sentencepiece(spark, sf_dir, model="piece_bpe_32k.model"):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode_texts(documents, public_tokenizers.path(model))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",").alias("listed")
+    coded = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), listed, "decoded")
+    return coded.select("doc_id", "n_tokens", _hex("listed").alias("ids_sha256"), _hex("decoded").alias("decoded_sha256"))
+
+
+def op12_cross_tokenizer_alignment(spark, sf_dir, **options):
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = align.align(documents, *paths)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(_hex("groups")).alias("groups_sha256")
+    aligned = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links")
+    return align.scored(aligned, align.vocabulary_size(paths[1]), **options)
+
+
+def op13_spelling_variants(spark, sf_dir, **options):
+    words = variants.vocabulary(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return variants.variants(words, **options)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_source_mixing": op2_source_mixing,
@@ -78,6 +104,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
