@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,11 +27,11 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 from tokenizers import Tokenizer
 
 from skyledger.llm.arrows import kept, slices
-from skyledger.llm.pieces import Pieces
 from skyledger.storage import stored
 
-# Between two visible characters a single space begins a token on both sides.
+# Between two visible characters a single space begins a token.
 _CUT = re.compile("(?<=[!-~À-ÿ]) (?=[!-~À-ÿ])")
+_SEEN = re.compile("[!-~À-ÿ]")
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _HIDDEN = [b for b in range(256) if b not in _SHOWN]
 # The characters that stand for bytes in byte-level vocabularies.
@@ -38,53 +39,78 @@ _BYTE_OF = {chr(b): b for b in _SHOWN} | {chr(256 + i): b for i, b in enumerate(
 
 
 class Coders:
-    """Both tokenizers, with the ids of stretches of text that a worker keeps."""
+    """Both tokenizers. A worker keeps the ids of stretches of text, in a young and an old table:
+    what the old one still serves moves to the young one, which replaces it when it is full."""
 
-    def __init__(self, path_a: str, path_b: str, remembered: int = 500_000):
+    def __init__(self, path_a: str, path_b: str, remembered: int = 300_000):
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
-        self.b = Pieces(path_b, remembered // 4)
-        self.n_a, self.n_b = self.a.get_vocab_size(), len(self.b.raw)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.n_a, self.n_b = self.a.get_vocab_size(), self.b.get_piece_size()
+        names = [self.b.id_to_piece(i) for i in range(self.n_b)]
+        if self.b.normalize("a  ﬁ ") != "▁a▁▁ﬁ▁" or any("▁" in s.lstrip("▁") for s in names):
+            raise ValueError("the second model changes texts, or its pieces go on over spaces")
         self.raw_a = [b""] * self.n_a
         for name, i in self.a.get_vocab().items():
             if all(c in _BYTE_OF for c in name):
                 self.raw_a[i] = bytes(_BYTE_OF[c] for c in name)
-        self.size_a = np.array([len(r) for r in self.raw_a])
-        self.size_b = np.array([len(r) for r in self.b.raw])
-        self.remembered, self.known = remembered, {}
+        self.raw_b = [self._bytes_b(i) for i in range(self.n_b)]
+        self.size_a = np.array([len(r) for r in self.raw_a], "i4")
+        self.size_b = np.array([len(r) for r in self.raw_b], "i4")
+        self.remembered, self.young, self.old = remembered, {}, {}
         self.shown = [f"{i}{mark}" for i in range(max(self.n_a, self.n_b)) for mark in ",|;"]
 
+    def _bytes_b(self, i: int) -> bytes:
+        if self.b.is_byte(i):
+            return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
+        silent = self.b.is_control(i) or self.b.is_unknown(i)
+        return b"" if silent else self.b.id_to_piece(i).replace("▁", " ").encode()
+
     def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        new = list({p for p in parts if p not in self.known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for part, found in zip(some, self.a.encode_batch([" " + p for p in some], add_special_tokens=False), strict=True):
-                ids, data = found.ids, b" " + part.encode("utf-8", "surrogatepass")
-                b = self.b.packed(part)
-                same = b"".join(map(self.raw_a.__getitem__, ids)) == data
-                same &= b"".join(map(self.b.raw.__getitem__, np.frombuffer(b, "<i4").tolist())) == data
-                self.known[part] = (np.array(ids, "<i4").tobytes(), b) if same else None
-
-    def ids(self, text: str) -> tuple[bytes, bytes]:
-        """The ids of a space and the text on both sides, packed; none if either side does not
-        stand for the same bytes. Stretches between cuts that both sides make are encoded one by
-        one, which gives the ids of the whole."""
-        if not text:
-            return b"", b""
-        parts = _CUT.split(text)
-        try:
-            found = list(map(self.known.__getitem__, parts))
-        except KeyError:
-            self._learn(parts)
-            found = list(map(self.known.__getitem__, parts))
-        if None in found:
-            return b"", b""
-        a, b = zip(*found, strict=True)
-        return b"".join(a), b"".join(b)
+        """Encode new stretches as one text, which is cut again where they begin."""
+        shut, alone = [], []
+        for part in dict.fromkeys(parts):
+            if (ids := self.old.get(part)) is not None:
+                self.young[part] = ids
+            else:
+                (shut if _SEEN.match(part[0]) and _SEEN.match(part[-1]) else alone).append(part)
+        for some in [*(shut[at : at + 4096] for at in range(0, len(shut), 4096)), *([p] for p in alone)]:
+            self._encode(some)
+
+    def _encode(self, some: list[str]) -> None:
+        data = [b" " + p.encode("utf-8", "surrogatepass") for p in some]
+        text, to = " ".join(some), np.cumsum([len(d) for d in data])
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        sides = []
+        for ids, raw, size in ((a, self.raw_a, self.size_a), (self.b.encode(text), self.raw_b, self.size_b)):
+            if b"".join(map(raw.__getitem__, ids)) != b"".join(data):
+                if len(some) > 1:  # which of them is it?
+                    for p in some:
+                        self._encode([p])
+                else:
+                    self.young[some[0]] = None, None
+                return
+            ids = np.array(ids, "<i4")
+            ends = [0, *(4 * (np.searchsorted(np.cumsum(size[ids]), to) + 1)).tolist()]
+            packed = ids.tobytes()
+            sides.append([packed[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)])
+        self.young.update(zip(some, zip(*sides, strict=True), strict=True))
+
+    def ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text the ids of a space and the text on both sides, packed; none if either
+        side does not stand for the same bytes. Stretches between cuts that both sides' rules make
+        anyway are encoded one by one, which gives the ids of the whole."""
+        if len(self.young) > self.remembered:
+            self.old, self.young = self.young, {}
+        cut = [_CUT.split(t) if t else [] for t in texts]
+        self._learn([p for parts in cut for p in parts if p not in self.young])
+        out = []
+        for parts in cut:
+            a, b = zip(*map(self.young.__getitem__, parts), strict=True) if parts else ((), ())
+            out.append((b"", b"") if None in a else (b"".join(a), b"".join(b)))
+        return out
 
 
 def coders(path_a: str, path_b: str) -> Coders:
@@ -93,7 +119,7 @@ def coders(path_a: str, path_b: str) -> Coders:
 
 def vocabulary_size(path_b: str) -> int:
     """The factor that parts an id pair's code."""
-    return len(Pieces(path_b, 0).raw)
+    return sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
 
 
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -120,7 +146,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
             waiting = left[(at[left] - reach >= lo[left]) | (at[left] + reach < hi[left])]
         good = cut >= 0
         found.append(cut[good])
-        lo, hi = np.concatenate([lo[good], cut[good] + 1]), np.concatenate([cut[good], hi[good]])
+        # both halves, in the order of the text
+        lo, hi = np.stack([lo[good], cut[good] + 1], 1).ravel(), np.stack([cut[good], hi[good]], 1).ravel()
     return np.sort(np.concatenate(found))
 
 
@@ -130,10 +157,13 @@ def _ranges(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(starts, sizes)
 
 
-def links(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n_b: int, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct linked id pairs of one text as ``a * n_b + b`` in order, and how often each is linked.
-    ``in_a`` and ``in_b``: tokens in each group. A group of very many links is counted by the
-    distinct ids on both sides."""
+def links(
+    a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n_b: int, base: np.ndarray | int = 0, most: int = 1 << 20
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct linked id pairs as ``a * n_b + b`` plus the ``base`` of their group (which tells texts
+    apart), in order, and how often each is linked. ``in_a`` and ``in_b``: tokens in each group. A
+    group of very many links is counted by the distinct ids on both sides."""
+    base = np.broadcast_to(np.asarray(base, "i8"), in_a.shape)
     a, b = a.astype("i8"), b.astype("i8")
     at_a, at_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
     size = in_a * in_b
@@ -145,13 +175,14 @@ def links(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n_b:
         k = _ranges(size[part])
         wide = np.repeat(in_b[part], size[part])
         pair = a[np.repeat(at_a[part], size[part]) + k // wide] * n_b + b[np.repeat(at_b[part], size[part]) + k % wide]
+        pair += np.repeat(base[part], size[part])
         found = np.unique(pair, return_counts=True)
         codes.append(found[0])
         times.append(found[1])
     for g in big.tolist():
         ua, ca = np.unique(a[at_a[g] : at_a[g] + in_a[g]], return_counts=True)
         ub, cb = np.unique(b[at_b[g] : at_b[g] + in_b[g]], return_counts=True)
-        codes.append((ua[:, None] * n_b + ub).ravel())
+        codes.append((ua[:, None] * n_b + ub).ravel() + base[g])
         times.append((ca[:, None] * cb).ravel())
     if len(codes) < 2:
         return (codes[0], times[0]) if codes else (np.empty(0, "i8"), np.empty(0, "i8"))
@@ -161,15 +192,15 @@ def links(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n_b:
     return every, total
 
 
-def _shown(ids_a, ids_b, in_a, in_b, shown: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: tokens in order, group by group."""
+def _shown(ids_a, ids_b, in_a, in_b, shown: list[str]) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3``: tokens in order, group by group, each with the mark behind it."""
     mark_a, mark_b = np.zeros(len(ids_a), "i8"), np.zeros(len(ids_b), "i8")
     end_a, end_b = np.cumsum(in_a), np.cumsum(in_b)
     mark_a[end_a - 1], mark_b[end_b - 1] = 1, 2
     out = np.empty(len(ids_a) + len(ids_b), "i8")
     out[np.arange(len(ids_a)) + np.repeat(end_b - in_b, in_a)] = ids_a.astype("i8") * 3 + mark_a
     out[np.arange(len(ids_b)) + np.repeat(end_a, in_b)] = ids_b.astype("i8") * 3 + mark_b
-    return "".join(map(shown.__getitem__, out.tolist()))[:-1]
+    return list(map(shown.__getitem__, out.tolist()))
 
 
 def _packed(codes: np.ndarray, times: np.ndarray) -> bytes:
@@ -192,32 +223,29 @@ _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 def _aligned(path_a: str, path_b: str, out: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     both = coders(path_a, path_b)
-    for batch in slices(batches, 1, 2 << 20):
-        sides = [both.ids(data.decode("utf-8", "replace")) if data else (b"", b"") for data in batch.column(1).to_pylist()]
+    span = both.n_a * both.n_b
+    for batch in slices(batches, 1, 1 << 19):
+        sides = both.ids([(data or b"").decode("utf-8", "replace") for data in batch.column(1).to_pylist()])
         a, b = (np.frombuffer(b"".join(side), "<i4") for side in zip(*sides, strict=True))
         n_a, n_b = (np.array([len(s[i]) // 4 for s in sides]) for i in (0, 1))
         # the texts stand one after the other, so that one bisection serves them all
+        last_a, some = np.cumsum(n_a), n_a > 0
         ends_a, ends_b = np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b])
-        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-        some = n_a > 0
-        cuts = shared_cuts(ends_a, ends_b, (last_a - n_a)[some], last_a[some]) if some.any() else np.empty(0, "i8")
+        cuts = shared_cuts(ends_a, ends_b, (last_a - n_a)[some], last_a[some]) if len(a) else np.empty(0, "i8")
         cuts_b = np.searchsorted(ends_b, ends_a[cuts])
+        in_a, in_b = np.diff(cuts, prepend=-1), np.diff(cuts_b, prepend=-1)
         to = np.searchsorted(cuts, last_a)  # groups up to each text's end
-        rows = []
-        for i, (x, y, end) in enumerate(zip(last_a.tolist(), last_b.tolist(), to.tolist(), strict=True)):
-            if not n_a[i]:
-                rows.append((0, 0, 0, 0, "", _packed(np.empty(0, "i8"), np.empty(0, "i8"))))
-                continue
-            from_a, from_b = x - n_a[i], y - n_b[i]
-            begin = np.searchsorted(cuts, from_a)
-            end = np.searchsorted(cuts, x)
-            in_a, in_b = np.diff(cuts[begin:end], prepend=from_a - 1), np.diff(cuts_b[begin:end], prepend=from_b - 1)
-            one, two = a[from_a:x], b[from_b:y]
-            pairs = links(one, two, in_a, in_b, both.n_b)
-            shown = _shown(one, two, in_a, in_b, both.shown)
-            rows.append((len(one), len(two), len(in_a), int((in_a * in_b).sum()), shown, _packed(*pairs)))
-        columns = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t.type) for c, t in zip(columns, list(out)[1:], strict=True))], schema=out)
+        begin = np.append(0, to[:-1])
+        pairs, times = links(a, b, in_a, in_b, both.n_b, np.repeat(np.arange(len(to)), to - begin) * span)
+        spots = np.searchsorted(pairs, np.arange(len(to) + 1) * span)
+        n_links = np.diff(np.append(0, np.cumsum(in_a * in_b))[np.append(0, to)])
+        shown = _shown(a, b, in_a, in_b, both.shown)
+        ends = np.cumsum(n_a + n_b)
+        groups = ["".join(shown[x - n : x])[:-1] for x, n in zip(ends.tolist(), (n_a + n_b).tolist(), strict=True)]
+        packed = [_packed(pairs[x:y] - i * span, times[x:y]) for i, (x, y) in enumerate(zip(spots[:-1].tolist(), spots[1:].tolist(), strict=True))]
+        columns = [*(pa.array(n.astype("i8")) for n in (n_a, n_b, to - begin, n_links)), pa.array(groups, pa.string()), pa.array(packed, pa.binary())]
+        columns = [c.cast(t.type) for c, t in zip(columns, list(out)[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=out)
 
 
 def align(documents: DataFrame, path_a: str, path_b: str, text: str = "text") -> DataFrame:
