@@ -53,15 +53,19 @@ def airport_totals(routes: DataFrame, per: str | None = None) -> DataFrame:
     )
 
 
+def _named(frame: DataFrame, airports: DataFrame, code: str, name: str) -> DataFrame:
+    """``frame`` with the display name of the airport whose code is in column ``code``; rows with
+    an unknown code go."""
+    look_up = airports.select(F.col("iata").alias("_code"), F.col("airport").alias(name))
+    return frame.join(look_up, F.col(code) == F.col("_code")).drop("_code")
+
+
 def finish_airports(
     routes: DataFrame, airports: DataFrame, k: int = 10, per: str | None = None
 ) -> DataFrame:
     """Name the airports, then keep the busiest ``k``; unknown codes never take a place."""
-    named = (
-        airport_totals(routes, per)
-        .join(airports, F.col("Origin") == F.col("iata"))
-        .select("airport", "Year", "total_count")
-    )
+    named = _named(airport_totals(routes, per), airports, "Origin", "airport")
+    named = named.select("airport", "Year", "total_count")
     return top_k(named, k, [F.desc("total_count"), F.asc("airport"), F.asc("Year")], per)
 
 
@@ -80,15 +84,9 @@ def finish_paths(
     busiest = top_k(
         routes, k, [F.desc("total_flights"), F.asc("Origin"), F.asc("Dest"), F.asc("Year")], per
     )
-    origins = airports.select(
-        F.col("iata").alias("origin_code"), F.col("airport").alias("origin_name")
-    )
-    return (
-        busiest.join(origins, F.col("Origin") == F.col("origin_code"))
-        .join(airports, F.col("Dest") == F.col("iata"))
-        .select("Origin", "origin_name", "Dest", "airport", "Year", "total_flights")
-        .orderBy(F.desc("total_flights"), "Year", "Origin", "Dest")
-    )
+    named = _named(_named(busiest, airports, "Origin", "origin_name"), airports, "Dest", "airport")
+    columns = ["Origin", "origin_name", "Dest", "airport", "Year", "total_flights"]
+    return named.select(*columns).orderBy(F.desc("total_flights"), "Year", "Origin", "Dest")
 
 
 def busy_paths(

@@ -7,7 +7,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators import month_year_counts
 from skyledger.plans.questions import QUESTIONS, Question
-from skyledger.streaming.results import BatchFunction, results_sink
+from skyledger.plans.rollups import COLUMNS, KEYS, all_rollups, rollup_for
+from skyledger.streaming.commits import Commits
+from skyledger.streaming.keyed import keyed_rows, keyed_sink, merge_rows
+from skyledger.streaming.results import BatchFunction, batches_since, commit_rows, owner_of, results_sink
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _STARTING = threading.Lock()
@@ -151,7 +154,57 @@ def count_months(
     available_now: bool = True,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Running flight counts by month; each batch writes the counts that it changed."""
+    """Running flight counts by month. Each batch merges the counts that it changed into the keyed
+    table ``results``, which has every month once (:func:`keyed_rows`)."""
     counts = month_year_counts(stream.select("Year", "Month"))
-    sink = results_sink(results, lambda changed: changed)
+    sink = keyed_sink(results, ["Month", "Year"])
     return drain(counts, sink, checkpoint, "update", state_partitions, available_now, interval)
+
+
+def questions_sink(
+    root: str, airports: DataFrame, per: str | None = None, running: bool = False
+) -> BatchFunction:
+    """Answer all questions for every micro-batch, each in its own results folder under ``root``.
+
+    The batch is scanned once, into the roll-ups of all questions, which are committed before any
+    answer. A batch that is run again starts from them, and writes only the answers that are
+    missing. ``running`` adds the roll-ups to those of all batches before it and answers from these.
+    """
+    names = list(QUESTIONS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        logs = {name: Commits(spark, f"{root}/{name}") for name in ("rollups", *names)}
+        for log in logs.values():
+            log.claim(owner_of(spark))
+        missing = [name for name in names if logs[name].entry(batch_id) is None]
+        if not missing:
+            return
+        if logs["rollups"].entry(batch_id) is None:
+            commit_rows(logs["rollups"], all_rollups(batch), batch_id)
+        rollups = batches_since(spark, f"{root}/rollups", batch_id - 1, batch_id).drop("batch_id")
+        if running:
+            merge_rows(rollups, f"{root}/history", ["kind", *KEYS], batch_id, add=True)
+            rollups = keyed_rows(spark, f"{root}/history")
+        for name in missing:
+            commit_rows(logs[name], QUESTIONS[name].finish(rollup_for(rollups, name), airports, per), batch_id)
+
+    return write
+
+
+def run_all_questions(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    airports: DataFrame,
+    per: str | None = None,
+    running: bool = False,
+    available_now: bool = True,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """All questions over one stream, under one checkpoint; see :func:`questions_sink`.
+
+    With ``running`` the table ``root/history`` holds the roll-ups of everything read so far.
+    """
+    sink = questions_sink(root, airports, per, running)
+    return drain(stream.select(*COLUMNS), sink, checkpoint, "update", None, available_now, interval)

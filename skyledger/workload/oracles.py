@@ -153,6 +153,18 @@ last_delivery AS (
   SELECT max("Year") AS last_year, count(DISTINCT "Year") - 1 AS batch_id FROM flights
 )"""
 
+# All answers in one shape; a question's batches are the years.
+_ALL_PARTS = (_CARRIERS, _MONTHS, _ROUTES, _AIRPORTS, _AIRPORTS_YEARLY, _PATHS_YEARLY)
+_SHAPES = """
+SELECT 'carrier_punctuality' AS question, "Year", "UniqueCarrier" AS name, CAST(NULL AS VARCHAR) AS other,
+       round(punctuality, 9) AS value{batch} FROM carriers
+UNION ALL
+SELECT 'worst_months', "Year", CAST("Month" AS VARCHAR), NULL, round(non_punctuality, 9){batch} FROM months
+UNION ALL
+SELECT 'busiest_airports', "Year", airport, NULL, CAST(total_count AS DOUBLE){batch} FROM busiest
+UNION ALL
+SELECT 'busy_paths', "Year", "Origin", "Dest", CAST(total_flights AS DOUBLE){batch} FROM paths"""
+
 _carrier_cells = ", ".join(
     f"max(value) FILTER (WHERE name = 'C{i}') AS \"C{i}\"" for i in range(20)
 ) + ", max(value) FILTER (WHERE name IS NULL) AS unknown"
@@ -233,6 +245,37 @@ ORACLES: dict[str, str] = {
     "stream_all_batches_carriers": _sql(
         _CARRIER_SELECT.replace(" FROM", f", {_BATCH} FROM"), _CARRIERS
     ),
+    "stream_until_stopped": _sql(_COUNT_SELECT),
+    "stream_shown_rows": _sql(_COUNT_SELECT + ' ORDER BY "Year", "Month" LIMIT 10').replace(
+        "AS n_flights", "AS n_flights, CAST(0 AS BIGINT) AS batch_id"
+    ),
+    "stream_skipping_empty": _sql(_MONTH_SELECT.replace(" FROM", ", CAST(1 AS BIGINT) AS batch_id FROM"), _MONTHS),
+    "stream_batches_since": _sql(
+        "SELECT * FROM (" + _MONTH_SELECT.replace(" FROM", f", {_BATCH} FROM") + ") WHERE batch_id > 1", _MONTHS
+    ),
+    # the newest year is taken first
+    "stream_unread_batches": _sql(
+        _MONTH_SELECT.replace(
+            " FROM", f', {_BATCH}, CAST(dense_rank() OVER (ORDER BY "Year" DESC) - 1 AS BIGINT) AS turn FROM'
+        ),
+        _MONTHS,
+    ),
+    "stream_all_questions": _sql(_SHAPES.format(batch=f", {_BATCH}"), *_ALL_PARTS),
+    "stream_all_questions_running": _sql(_SHAPES.format(batch=""), *_ALL_PARTS),
+    "carrier_ranking": _sql(
+        """
+        SELECT rank() OVER (ORDER BY punctuality DESC NULLS LAST) AS rank, *
+        FROM (SELECT "UniqueCarrier", round(avg(1 - num_delayed_flights / num_total_flights), 9) AS punctuality,
+                     CAST(sum(num_total_flights) AS BIGINT) AS n_flights
+              FROM carrier_monthly GROUP BY "UniqueCarrier")""",
+        _CARRIER_MONTHLY,
+    ),
+    "month_ranking": _sql(
+        """
+        SELECT rank() OVER (ORDER BY non_punctuality DESC NULLS LAST) AS rank, *
+        FROM (SELECT "Year", "Month", round(non_punctuality, 9) AS non_punctuality FROM months)""",
+        _MONTHS,
+    ),
     "stream_latest_batch": _sql(
         'SELECT busiest.*, batch_id FROM busiest JOIN last_delivery ON "Year" = last_year',
         _AIRPORTS,

@@ -4,7 +4,8 @@ Doubles are rounded to nine decimals here, not in the operators, since two engin
 different orders.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -239,35 +240,30 @@ def _stream_running(spark: SparkSession, sf_dir: str, name: str, per: str | None
     return streaming.latest_batch(spark, results).drop("batch_id")
 
 
-def _stream_by_year(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Deliver one year after the other, in place, and answer for each as it arrives.
+def _years_delivered(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> Iterator[str]:
+    """Deliver one year after the other to a landing folder, and name what a stream reads after each.
 
-    The data is written once, a folder per year. A delivery is one batch over its folder, however
-    many files that holds. The years come from the folders' names, and more than ``MOST_YEARS``
-    are refused, as each is a run of its own.
+    The data is written once, a folder per year, and a year is delivered by a rename. The years come
+    from the folders' names; more than ``MOST_YEARS`` are refused, as each is a run of its own.
     """
-    landing, results = scratch_dir(spark, "landing"), scratch_dir(spark, "results")
-    checkpoint, named = scratch_dir(spark, "checkpoint"), airports(spark, sf_dir)
-    sources.write_per_year(_flights_for(spark, sf_dir, name), landing)
-    years = streaming.folder_names(spark, landing)
+    waiting, landing = scratch_dir(spark, "waiting"), scratch_dir(spark, "landing")
+    sources.write_per_year(flights(spark, sf_dir, columns), waiting)
+    years = sorted(streaming.folder_names(spark, waiting))
     if len(years) > MOST_YEARS:
         raise ValueError(f"{len(years)} years to deliver; at most {MOST_YEARS} are")
-    for n, year in enumerate(sorted(years)):
-        stream = sources.stream_flights(spark, f"{landing}/{year}", max_files=None)
-        streaming.run_per_batch(name, stream, f"{results}/delivery={n}", f"{checkpoint}/{n}", named)
-    return results
-
+    for year in years:
+        streaming.deliver(spark, f"{waiting}/{year}", f"{landing}/{year}")
+        yield f"{landing}/*/"
 
-def _all_deliveries(spark: SparkSession, results: str) -> DataFrame:
-    """The batches of every delivery, numbered by delivery."""
-    rows = spark.read.parquet(results)
-    return rows.drop("batch_id").withColumn("delivery", F.col("delivery").cast("bigint")).withColumnRenamed("delivery", "batch_id")
 
-
-def _last_delivery(spark: SparkSession, results: str) -> DataFrame:
-    last = max(int(name.partition("=")[2]) for name in streaming.folder_names(spark, results))
-    newest = streaming.latest_batch(spark, f"{results}/delivery={last}")
-    return newest.withColumn("batch_id", F.lit(last).cast("bigint"))
+def _stream_by_year(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Answer for each year as it arrives. A delivery is one batch, however many files it holds."""
+    results, checkpoint = scratch_dir(spark, "results"), scratch_dir(spark, "checkpoint")
+    named = airports(spark, sf_dir)
+    for landing in _years_delivered(spark, sf_dir, QUESTIONS[name].columns):
+        stream = sources.stream_flights(spark, landing, max_files=None)
+        streaming.run_per_batch(name, stream, results, checkpoint, named)
+    return results
 
 
 def stream_carrier_punctuality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,12 +284,11 @@ def stream_busy_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_month_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts over the files of the bucketed table."""
-    results = scratch_dir(spark, "results")
-    checkpoint = scratch_dir(spark, "checkpoint")
+    results, checkpoint = scratch_dir(spark, "results"), scratch_dir(spark, "checkpoint")
     table = _bucketed(spark, sf_dir, ("Year", "Month"))
     table_files = sources.stream_flights(spark, table, max_bytes=BATCH_BYTES)
     streaming.count_months(table_files, results, checkpoint, STATE_PARTITIONS)
-    return streaming.latest_per_key(spark, results, ["Month", "Year"])
+    return streaming.keyed_rows(spark, results)
 
 
 def stream_month_year_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,34 +300,154 @@ def stream_month_year_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ops.month_year_counts_sql(stream.select("Year", "Month"), view)
     streaming.drain(
         counts,
-        streaming.results_sink(results, lambda changed: changed),
+        streaming.keyed_sink(results, ["Month", "Year"]),
         scratch_dir(spark, "checkpoint"),
         state_partitions=STATE_PARTITIONS,
     )
     spark.catalog.dropTempView(view)
-    return streaming.latest_per_key(spark, results, ["Month", "Year"])
+    return streaming.keyed_rows(spark, results)
+
+
+def stream_until_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts by a query that waits for more until it is stopped."""
+    landing, results = scratch_dir(spark, "landing"), scratch_dir(spark, "results")
+    sources.write_per_year(flights(spark, sf_dir, ("Year", "Month")), landing)
+    query = streaming.count_months(
+        sources.stream_flights(spark, f"{landing}/*/", max_bytes=BATCH_BYTES),
+        results,
+        scratch_dir(spark, "checkpoint"),
+        STATE_PARTITIONS,
+        available_now=False,
+        interval="1 second",
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return streaming.keyed_rows(spark, results)
+
+
+def stream_shown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the console shows of the running counts: the first ten rows of a batch."""
+    landing, shown = scratch_dir(spark, "landing"), scratch_dir(spark, "shown")
+    sources.write_per_year(flights(spark, sf_dir, ("Year", "Month")), landing)
+    stream = sources.stream_flights(spark, f"{landing}/*/", max_files=None).select("Year", "Month")
+    sink = streaming.console_sink(10, [F.asc("Year"), F.asc("Month")], shown)
+    counts = ops.month_year_counts(stream)
+    streaming.drain(counts, sink, scratch_dir(spark, "checkpoint"), state_partitions=STATE_PARTITIONS)
+    return streaming.all_batches(spark, shown)
+
+
+def stream_skipping_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty delivery, then all flights: the empty batch leaves no result."""
+    landing, results = scratch_dir(spark, "landing"), scratch_dir(spark, "results")
+    checkpoint, rows = scratch_dir(spark, "checkpoint"), _flights_for(spark, sf_dir, "worst_months")
+    for name, part in (("0", rows.limit(0)), ("1", rows)):
+        part.write.parquet(f"{landing}/{name}")
+        stream = sources.stream_flights(spark, f"{landing}/*/", max_files=None)
+        streaming.run_per_batch("worst_months", stream, results, checkpoint, skip_empty=True)
+    return _rounded(streaming.all_batches(spark, results), "non_punctuality")
 
 
 def stream_all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The heat map as it fills up: worst months of each delivered year."""
-    months = _all_deliveries(spark, _stream_by_year(spark, sf_dir, "worst_months"))
+    months = streaming.all_batches(spark, _stream_by_year(spark, sf_dir, "worst_months"))
     return _rounded(months, "non_punctuality")
 
 
 def stream_all_batches_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line chart as it grows: carriers of each delivered year."""
-    carriers = _all_deliveries(spark, _stream_by_year(spark, sf_dir, "carrier_punctuality"))
+    carriers = streaming.all_batches(spark, _stream_by_year(spark, sf_dir, "carrier_punctuality"))
     return _rounded(carriers, "punctuality")
 
 
+def stream_batches_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worst months of the years delivered after the second one."""
+    months = streaming.batches_since(spark, _stream_by_year(spark, sf_dir, "worst_months"), since=1)
+    return _rounded(months, "non_punctuality")
+
+
+def stream_unread_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that takes the newest unread year until none is left, with the turn of each."""
+    results, taken = _stream_by_year(spark, sf_dir, "worst_months"), []
+    while (rows := streaming.take_unread(spark, results, "dashboard")) is not None:
+        taken.append(rows.withColumn("turn", F.lit(len(taken)).cast("bigint")))
+    return _rounded(reduce(DataFrame.unionByName, taken), "non_punctuality")
+
+
 def stream_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bars on show at the end: busiest airports of the year delivered last."""
-    return _last_delivery(spark, _stream_by_year(spark, sf_dir, "busiest_airports"))
+    return streaming.latest_batch(spark, _stream_by_year(spark, sf_dir, "busiest_airports"))
 
 
 def stream_latest_batch_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table on show at the end: busy paths of the year delivered last."""
-    return _last_delivery(spark, _stream_by_year(spark, sf_dir, "busy_paths"))
+    return streaming.latest_batch(spark, _stream_by_year(spark, sf_dir, "busy_paths"))
+
+
+def _in_one_shape(spark: SparkSession, root: str) -> DataFrame:
+    """The answers to all questions, batch by batch, as ``question, batch_id, Year, name, other, value``."""
+    shapes = {
+        "carrier_punctuality": ("UniqueCarrier", None, "punctuality"),
+        "worst_months": ("Month", None, "non_punctuality"),
+        "busiest_airports": ("airport", None, "total_count"),
+        "busy_paths": ("Origin", "Dest", "total_flights"),
+    }
+    parts = []
+    for question, (name, other, value) in shapes.items():
+        parts.append(
+            streaming.all_batches(spark, f"{root}/{question}").select(
+                F.lit(question).alias("question"),
+                "batch_id",
+                "Year",
+                F.col(name).cast("string").alias("name"),
+                (F.col(other) if other else F.lit(None).cast("string")).alias("other"),
+                F.round(F.col(value).cast("double"), 9).alias("value"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_all_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four questions over one stream, a year at a time."""
+    root, checkpoint = scratch_dir(spark, "questions"), scratch_dir(spark, "checkpoint")
+    for landing in _years_delivered(spark, sf_dir, COLUMNS):
+        stream = sources.stream_flights(spark, landing, max_files=None)
+        streaming.run_all_questions(stream, root, checkpoint, airports(spark, sf_dir))
+    return _in_one_shape(spark, root)
+
+
+def stream_all_questions_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four questions for everything read so far, from roll-ups kept between batches."""
+    landing, root = scratch_dir(spark, "landing"), scratch_dir(spark, "questions")
+    sources.write_per_year(flights(spark, sf_dir), landing)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    years = sorted(streaming.folder_names(spark, landing))
+    for some in (years[:3], years[3:]):
+        for year in some:
+            streaming.deliver(spark, f"{landing}/{year}", f"{landing}-delivered/{year}")
+        stream = sources.stream_flights(spark, f"{landing}-delivered/*/", max_files=None)
+        streaming.run_all_questions(stream, root, checkpoint, airports(spark, sf_dir), "Year", running=True)
+    return _in_one_shape(spark, root).where("batch_id = 1").drop("batch_id")
+
+
+def _history(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]) -> DataFrame:
+    """The roll-up of a question over all years, kept in a table and added to by two runs."""
+    path, rows = scratch_dir(spark, "history"), _flights_for(spark, sf_dir, name)
+    early = F.coalesce(F.col("Year") <= 1995, F.lit(False))
+    for run, part in enumerate((early, ~early)):
+        streaming.merge_rows(QUESTIONS[name].rollup(rows.where(part)), path, keys, run, add=True)
+    return streaming.keyed_rows(spark, path)
+
+
+def carrier_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most punctual carrier of all history first."""
+    return plans.carrier_ranking(_history(spark, sf_dir, "carrier_punctuality", ["Year", "Month", "UniqueCarrier"]))
+
+
+def month_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The worst month of all history first."""
+    return plans.month_ranking(_history(spark, sf_dir, "worst_months", ["Year", "Month"]))
 
 
 _ALL: Sequence[Query] = (
@@ -368,8 +483,17 @@ _ALL: Sequence[Query] = (
     stream_busy_paths,
     stream_month_year_counts,
     stream_month_year_counts_sql,
+    stream_until_stopped,
+    stream_shown_rows,
+    stream_skipping_empty,
     stream_all_batches,
     stream_all_batches_carriers,
+    stream_batches_since,
+    stream_unread_batches,
+    stream_all_questions,
+    stream_all_questions_running,
+    carrier_ranking,
+    month_ranking,
     stream_latest_batch,
     stream_latest_batch_paths,
 )
