@@ -1,6 +1,6 @@
 """Questions over streams, and the results folders they write."""
 
-from skyledger.streaming.files import deliver, folder_names
+from skyledger.streaming.files import copy, deliver, folder_names
 from skyledger.streaming.keyed import keyed_rows, keyed_sink, merge_rows
 from skyledger.streaming.results import (
     all_batches,
@@ -28,6 +28,7 @@ __all__ = [
     "batches_since",
     "compact",
     "console_sink",
+    "copy",
     "count_months",
     "count_unread",
     "deliver",

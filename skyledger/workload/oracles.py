@@ -245,6 +245,14 @@ ORACLES: dict[str, str] = {
     "stream_all_batches_carriers": _sql(
         _CARRIER_SELECT.replace(" FROM", f", {_BATCH} FROM"), _CARRIERS
     ),
+    "table_month": _sql(_PROFILE + ' WHERE "Month" IN (2, 7) GROUP BY ALL'),
+    "csv_quarantine": _sql(
+        """
+        SELECT "Year", CASE WHEN "ArrDelay" = 40 THEN 'ArrDelay' WHEN "DepDelay" = 20 THEN 'Cancelled' ELSE 'none' END AS reason,
+               count(*) AS n_records
+        FROM flights GROUP BY ALL"""
+    ),
+    "stream_contents_once": _sql(_COUNT_SELECT),
     "stream_until_stopped": _sql(_COUNT_SELECT),
     "stream_shown_rows": _sql(_COUNT_SELECT + ' ORDER BY "Year", "Month" LIMIT 10').replace(
         "AS n_flights", "AS n_flights, CAST(0 AS BIGINT) AS batch_id"

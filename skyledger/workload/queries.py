@@ -216,6 +216,32 @@ def airports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_airports(spark, path)
 
 
+def table_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months of the bucketed table, of which only their buckets are read."""
+    path = scratch_dir(spark, "bucketed")
+    table = "flights_" + path.rsplit("-", 1)[1]
+    sources.write_bucketed(as_flights(flights(spark, sf_dir)), table, path)
+    found = sources.read_flights_table(spark, table, months=(2, 7))
+    spark.sql(f"DROP TABLE {table}")
+    return _profile(found)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights as CSV in which some delays and flags are words: what is read, and what is set aside
+    for which reason, by year."""
+    csv, aside = scratch_dir(spark, "csv"), scratch_dir(spark, "quarantine")
+    rows = as_flights(flights(spark, sf_dir))
+    words = {
+        "ArrDelay": F.when(F.col("ArrDelay") == 40, "late").otherwise(F.col("ArrDelay").cast("string")),
+        "Cancelled": F.when(F.col("DepDelay") == 20, "no").otherwise(F.col("Cancelled").cast("string")),
+    }
+    sources.consolidate_csv(rows.withColumns(words), csv)
+    good = sources.read_flights_checked(spark, csv, aside, most=0.5)
+    bad = spark.read.parquet(aside).select(F.split("record", ",")[0].cast("int").alias("Year"), "reason")
+    both = good.select("Year", F.lit("none").alias("reason")).unionByName(bad)
+    return both.groupBy("Year", "reason").agg(F.count("*").alias("n_records"))
+
+
 # -- streams -------------------------------------------------------------------------------------
 
 
@@ -327,6 +353,24 @@ def stream_until_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.keyed_rows(spark, results)
 
 
+def stream_contents_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every yearly folder is delivered twice, the second time under another name, and counts once."""
+    landing, table = scratch_dir(spark, "landing"), scratch_dir(spark, "counts")
+    sources.write_per_year(flights(spark, sf_dir, ("Year", "Month")), landing)
+    checkpoint = scratch_dir(spark, "checkpoint")
+
+    def count(rows: DataFrame, batch_id: int) -> None:
+        streaming.merge_rows(ops.month_year_counts(rows), table, ["Month", "Year"], batch_id, add=True)
+
+    for again in range(2):
+        if again:
+            for year in streaming.folder_names(spark, landing):
+                streaming.copy(spark, f"{landing}/{year}", f"{landing}/again_{year}")
+        stream = sources.stream_new_contents(spark, f"{landing}/*/")
+        streaming.drain(stream, sources.on_new_flights(count), checkpoint, state_partitions=STATE_PARTITIONS)
+    return streaming.keyed_rows(spark, table)
+
+
 def stream_shown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the console shows of the running counts: the first ten rows of a batch."""
     landing, shown = scratch_dir(spark, "landing"), scratch_dir(spark, "shown")
@@ -477,6 +521,8 @@ _ALL: Sequence[Query] = (
     ingest_years,
     table_by_name,
     airports_csv,
+    table_month,
+    csv_quarantine,
     stream_carrier_punctuality,
     stream_worst_months,
     stream_busiest_airports,
@@ -484,6 +530,7 @@ _ALL: Sequence[Query] = (
     stream_month_year_counts,
     stream_month_year_counts_sql,
     stream_until_stopped,
+    stream_contents_once,
     stream_shown_rows,
     stream_skipping_empty,
     stream_all_batches,

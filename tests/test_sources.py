@@ -1,3 +1,4 @@
+import time
 from pathlib import Path
 
 import hand
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger import operators as ops
-from skyledger import plans, sources
+from skyledger import plans, sources, streaming
 from skyledger.schema import FLIGHTS, as_flights
 
 HEADER = ",".join(FLIGHTS.names)
@@ -164,3 +165,105 @@ def test_table_by_name_is_read_by_splits_and_reloaded_in_place(spark, tmp_path,
     assert "Exchange" in plan(ops.month_year_counts(got))
     sources.write_bucketed(flights, table)
     assert spark.table(table).count() == 2 * flights.count()
+
+
+# -- malformed records ---------------------------------------------------------------------------
+
+
+def csv_lines(spark, path, lines):
+    head = ",".join(f.name for f in FLIGHTS.fields)
+    (path / "in").mkdir(parents=True, exist_ok=True)
+    (path / "in" / "1990.csv").write_text("\n".join([head, *lines]) + "\n")
+    return str(path / "in")
+
+
+def record(**given):
+    return ",".join(str(given.get(f.name, "NA")) for f in FLIGHTS.fields)
+
+
+def test_malformed_records_are_set_aside(spark, tmp_path):
+    good = [record(Year=1990, Month=m, ArrDelay=m, TailNum="N1", Origin='"A,B"') for m in range(1, 9)]
+    bad = [record(Year=1990, ArrDelay="late"), record(Year="x", DepDelay="y"), "1990,1", record(Year=1990) + ",7", record(Cancelled=99999999999)]
+    path = csv_lines(spark, tmp_path, [*good, *bad, record()])
+    rows = sources.read_flights_checked(spark, path, str(tmp_path / "aside"), most=0.5)
+    assert rows.columns == FLIGHTS.names and rows.count() == 9
+    assert {(r.Month, r.ArrDelay, r.Origin) for r in rows.where("Month > 6").collect()} == {(7, 7, "A,B"), (8, 8, "A,B")}
+    aside = spark.read.parquet(str(tmp_path / "aside")).collect()
+    reasons = {r.record: r.reason for r in aside}
+    assert reasons == dict(zip(bad, ["ArrDelay", "Year", "fields", "fields", "Cancelled"], strict=True))
+    assert all(r.file.endswith("1990.csv") for r in aside)
+
+
+def test_too_many_malformed_records_stop_the_read(spark, tmp_path):
+    path = csv_lines(spark, tmp_path, [record(Year=1990), record(Year="x")])
+    with pytest.raises(sources.TooManyBadRecords, match="1 of 2"):
+        sources.read_flights_checked(spark, path, str(tmp_path / "aside"))
+    empty = csv_lines(spark, tmp_path / "e", [])
+    assert sources.read_flights_checked(spark, empty, str(tmp_path / "aside2")).collect() == []
+
+
+# -- buckets -------------------------------------------------------------------------------------
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_month_is_read_alone_and_by_many_tasks(spark, tmp_path):
+    """A third of the flights lie in one month; reading it opens its bucket only, in many tasks."""
+    month = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 12 + 1)
+    rows = spark.range(60_000).select(F.lit(1990).alias("Year"), month.cast("int").alias("Month"), F.rand(1).cast("string").alias("TailNum"))
+    sources.write_bucketed(as_flights(rows), "hot_month", str(tmp_path / "t"))
+    want = rows.where("Month = 7").count()
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        kept = sources.read_flights_table(spark, "hot_month", [7], split=False)
+        counted = kept.groupBy("Month").count()
+        assert "SelectedBucketsCount: 1 out of 12" in executed(counted) and "Exchange" not in executed(counted)
+        spark.conf.set(setting, "32k")
+        spread = sources.read_flights_table(spark, "hot_month", [7])
+        assert kept.rdd.getNumPartitions() == 1 or kept.count() == want
+        assert spread.rdd.getNumPartitions() >= 4
+        names = {f.rsplit("_", 1)[1].split(".")[0] for f in spread.inputFiles()}
+        assert len(names) == 1
+        assert [r["count"] for r in spread.groupBy("Month").count().collect()] == [want] == [r["count"] for r in counted.collect()]
+        both = sources.read_flights_table(spark, "hot_month", [7, 2])
+        assert both.count() == rows.where("Month in (2, 7)").count()
+        assert sources.read_flights_table(spark, "hot_month", []).count() == 0
+        assert sources.read_flights_table(spark, "hot_month").count() == 60_000
+    finally:
+        spark.conf.set(setting, before)
+        spark.sql("DROP TABLE hot_month")
+
+
+# -- housekeeping --------------------------------------------------------------------------------
+
+
+def test_read_files_are_archived(spark, tmp_path):
+    rows = hand.flights(spark)
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    for n in range(3):
+        as_flights(rows).coalesce(1).write.parquet(str(landing / str(n)))
+        stream = sources.stream_flights(spark, f"{landing}/*/", max_files=None, archive=str(archive), max_age="7d")
+        streaming.run_per_batch("worst_months", stream, str(tmp_path / "r"), str(tmp_path / "c"))
+    assert streaming.all_batches(spark, str(tmp_path / "r")).select("batch_id").distinct().count() == 3
+    deadline = time.time() + 20
+    while not list(archive.rglob("*.parquet")) and time.time() < deadline:
+        time.sleep(0.2)
+    moved, left = list(archive.rglob("*.parquet")), list(landing.rglob("*.parquet"))
+    assert moved and len(moved) + len(left) == 3
+
+
+def test_a_content_delivered_twice_counts_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    seen = []
+    for n in range(4):
+        if n in (0, 2):
+            as_flights(hand.flights(spark)).where(F.col("Year") == 2000 + n // 2).coalesce(1).write.parquet(str(landing / str(n)))
+        else:
+            streaming.copy(spark, str(landing / str(n - 1)), str(landing / f"copy{n}"))
+        stream = sources.stream_new_contents(spark, f"{landing}/*/")
+        work = sources.on_new_flights(lambda rows, batch_id: seen.append(rows.count()))
+        streaming.drain(stream, work, str(tmp_path / "c"), state_partitions=2)
+    assert seen == [7, 5]

@@ -105,8 +105,12 @@ def test_running_answers_do_not_depend_on_the_split(
 
 def test_running_counts(spark, flights, split_months, tmp_path):
     results, checkpoint = folders(tmp_path)
-    streaming.count_months(sources.stream_flights(spark, split_months), results, checkpoint)
+    table = str(tmp_path / "table")
+    streaming.count_months(sources.stream_flights(spark, split_months), table, str(tmp_path / "c2"))
+    counts = ops.month_year_counts(sources.stream_flights(spark, split_months))
+    streaming.drain(counts, streaming.results_sink(results, lambda b: b), checkpoint)
     want = hand.rows(ops.month_year_counts(flights))
+    assert hand.rows(streaming.keyed_rows(spark, table)) == want
     assert hand.rows(streaming.latest_per_key(spark, results, ["Month", "Year"])) == want
     # Each batch wrote only what it changed, as totals so far.
     changes = streaming.all_batches(spark, results).collect()
@@ -129,8 +133,7 @@ def test_stream_over_a_bucketed_table(spark, flights, tmp_path):
     try:
         stream = sources.stream_flights(spark, str(tmp_path / "table"), max_files=2)
         streaming.count_months(stream, results, checkpoint)
-        got = streaming.latest_per_key(spark, results, ["Month", "Year"])
-        assert hand.rows(got) == hand.rows(ops.month_year_counts(flights))
+        assert hand.rows(streaming.keyed_rows(spark, results)) == hand.rows(ops.month_year_counts(flights))
     finally:
         spark.sql("DROP TABLE streamed_table")
 
@@ -237,7 +240,8 @@ def test_no_results_yet(spark, tmp_path):
 
 def test_compact_keeps_the_newest_rows(spark, by_year, tmp_path):
     results, small = str(tmp_path / "results"), str(tmp_path / "small")
-    streaming.count_months(sources.stream_flights(spark, by_year), results, str(tmp_path / "c"))
+    counts = ops.month_year_counts(sources.stream_flights(spark, by_year))
+    streaming.drain(counts, streaming.results_sink(results, lambda b: b), str(tmp_path / "c"))
     keys = ["Month", "Year"]
     streaming.compact(spark, results, keys, small)
     want = hand.rows(streaming.latest_per_key(spark, results, keys))
