@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.hashing import U, mix, word_spans
-from skyledger.storage import stored
+from skyledger.storage import forget, stored
 
 _GEAR = (mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15)) >> U(32)).astype("u4")
 
@@ -137,8 +137,9 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", method: Chunks
     runs, first places included."""
     runs = run_table(documents, id_col, method)
     # half the digest tells which runs may be repeated, so that only those carry their places on
-    many = runs.groupBy("d1").count().where("count > 1").select("d1")
+    many = stored(runs.groupBy("d1").count().where("count > 1").select("d1"), "chunks-many")
     runs = stored(runs.join(many, "d1"), "chunks-repeated")
+    forget(many)
     place = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "start")
     seen = runs.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("place")).where("n > 1")
     hits = runs.join(seen.select("d1", "d2", "place"), ["d1", "d2"])
@@ -172,7 +173,9 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", method: Chunks
             gone = pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype("i4")), pair)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), gone, pa.array(repeated, pa.int64())], ["id", "mark", "gone", "repeated"])
 
-    return grouped.mapInArrow(tasks, kind)
+    spans = stored(grouped.mapInArrow(tasks, kind), "chunks-spans")
+    forget(runs)
+    return spans
 
 
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", method: Chunks | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.storage import stored
+from skyledger.storage import forget, stored, stored_counting
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -18,14 +18,17 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     )
     labels = stored(both.groupBy("key").agg(F.min("other").alias("o")).select("key", F.least("key", "o").alias("root")), label)
     while True:
-        near = both.join(labels.withColumnRenamed("key", "other"), "other").groupBy("key").agg(F.min("root").alias("near"))
-        met = labels.join(near, "key", "left").select("key", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        up = labels.select(F.col("key").alias("root"), F.col("root").alias("above"))
+        own = labels.select("key", "root")
+        near = both.join(own.withColumnRenamed("key", "other"), "other").groupBy("key").agg(F.min("root").alias("near"))
+        met = own.join(near, "key", "left").select("key", F.col("root").alias("was"), F.least("root", "near").alias("root"))
+        up = own.toDF("root", "above")
         nxt = met.join(up, "root", "left").select("key", "was", F.least("root", "above").alias("root"))
-        nxt = stored(nxt, label)
-        if nxt.where("was != root").isEmpty():
+        nxt, changed = stored_counting(nxt, label, "was != root")
+        forget(labels)
+        labels = nxt
+        if not changed:
+            forget(both)
             return nxt.select("key", "root")
-        labels = nxt.select("key", "root")
 
 
 def extended(roots: DataFrame, links: DataFrame) -> DataFrame:

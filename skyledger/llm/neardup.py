@@ -267,10 +267,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
     signatures, sketches, sets = wanted.select("digest", "signature"), known.select("digest", "sketch"), known.select("digest", "tokens")
 
     def likeliest(pairs: DataFrame) -> DataFrame:
-        """Confirmed links of each ``b`` with its likeliest ``a``."""
-        pairs = pairs.distinct().join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-        best = _promising(pairs, method).groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a"))
-        return stored(_confirmed(best, sets, method), "paths-links")
+        """Confirmed links of each ``b`` with the ``a`` that it meets in most nodes: one for each
+        ``b``, chosen before anything is fetched for the pairs."""
+        often = pairs.groupBy("b", "a").count()
+        best = often.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
+        best = best.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+        return stored(_confirmed(_promising(best, method), sets, method), "paths-links")
 
     def unfinished(nodes: DataFrame, roots: DataFrame) -> DataFrame:
         """The nodes that hold several components, with each member's."""
