@@ -42,10 +42,10 @@ class ChosenPath:
     orders: int = 128
     trees: int = 14
     depth: int = 2
-    few: int = 64
+    few: int = 256
     block: int = 256
     step: int = 3
-    sketch: int = 512
+    sketch: int = 1024
     deviations: float = 5.0
     seed: int = 7
 
