@@ -28,6 +28,29 @@ from skyledger.llm.components import components, extended
 from skyledger.llm.hashing import U, mix, odd, shingle_set
 from skyledger.storage import stored
 
+# The query over documents as SQL, for small tables: all pairs that share a shingle, and their closure.
+ORACLE = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM split
+),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+tops AS (SELECT x, least(x, min(y)) AS top FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(top, doc_id) AS component_id, doc_id = coalesce(top, doc_id) AS kept
+FROM sets LEFT JOIN tops ON doc_id = x
+"""
+
 
 @dataclass(frozen=True)
 class ChosenPath:

@@ -112,4 +112,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
+    "op4_near_duplicates": neardup.ORACLE,
+    "op13_spelling_variants": variants.ORACLE,
 }

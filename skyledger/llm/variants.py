@@ -30,6 +30,51 @@ _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+# The query over documents as SQL: the checksum by its table, near words by what is left around each
+# place, roots by following forms.
+ORACLE = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM range(256) r(n)
+),
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL
+),
+bytes AS (SELECT run, times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+summed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM bytes, crc_table
+),
+heard AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM summed
+),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM heard WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+holes AS (SELECT word, n, unnest(range(length(word))) AS i FROM words),
+gaps AS (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM holes),
+near AS (
+  SELECT g.word, o.word AS other, o.n FROM gaps g JOIN gaps o ON g.a = o.a AND g.b = o.b AND g.word <> o.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.a || g.b = w.word
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.a || g.b = w.word
+),
+best AS (SELECT word, count(*) AS n_near, min({'minus': -n, 'other': other}) AS top FROM near GROUP BY word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -top.minus >= 2 * n THEN top.other END AS form, CASE WHEN -top.minus >= 2 * n THEN -top.minus END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word
+),
+chain AS (
+  SELECT word, word AS root, form AS further FROM forms
+  UNION ALL
+  SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON chain.further = forms.word
+)
+SELECT forms.word, n, n_near, form, form_n, root FROM forms JOIN chain ON forms.word = chain.word AND further IS NULL
+"""
+
+
 def _words(least: int, noise: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with their number of occurrences, counted over stretches of ``most`` different ones."""
     total: Counter = Counter()
