@@ -113,5 +113,6 @@ QUERIES = {
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
     "op4_near_duplicates": neardup.ORACLE,
+    "op8_warc": warc.ORACLE,
     "op13_spelling_variants": variants.ORACLE,
 }

@@ -23,6 +23,23 @@ from pyspark.sql import functions as F
 
 from skyledger.storage import scratch_dir
 
+# The query over pages as SQL; a digest is read off five hex digits, which are four letters, at a time.
+ORACLE = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(encode(coalesce(html, ''))) AS x FROM pages
+),
+digests AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '') AS payload_digest
+  FROM payloads
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM firsts
+"""
+
 DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
