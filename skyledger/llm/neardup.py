@@ -5,6 +5,9 @@ random orders. A tree is walked from its root: at every node a pseudo-random cho
 on the node alone names one or two of the orders, and a document goes to the child named by the
 token it has there. Similar documents share paths, others part soon. On average a pair of the
 wanted similarity shares as many children as it had nodes, and independent trees raise the recall.
+Where a node must go deeper, it branches more often: so often that a pair of the wanted similarity
+stays together in some tree with the wanted recall however deep its nodes go. The chance for that
+is computed from the similarity, the number of trees and the recall.
 
 Two observations keep the work linear where copies gather. Documents with equal sets are one class
 from the start. And since the result is the connected components, a node whose members are all
@@ -56,8 +59,9 @@ FROM sets LEFT JOIN tops ON doc_id = x
 class ChosenPath:
     """``similarity`` in percent. ``few``: so many members outside its largest component a node may
     have to be compared exhaustively, in blocks of ``block`` members; the others go ``step`` levels
-    deeper. ``sketch``: further orders, of which one byte of each token is kept for comparing, the
-    first quarter of them before all. ``deviations``: how many standard deviations of an estimate
+    deeper. ``recall``: the share of pairs at the similarity that some tree keeps together, at any
+    depth. ``sketch``: further orders, of which one byte of each token is kept for comparing, the
+    first quarter of them before all, and the second half for the levels below. ``deviations``: how many standard deviations of an estimate
     a pair may lie below the similarity and still be confirmed on full sets."""
 
     similarity: int = 75
@@ -68,6 +72,7 @@ class ChosenPath:
     few: int = 256
     block: int = 256
     step: int = 3
+    recall: float = 0.998
     sketch: int = 1024
     deviations: float = 5.0
     seed: int = 7
@@ -96,21 +101,59 @@ class ChosenPath:
     def roots(self) -> np.ndarray:
         return mix(np.arange(1, self.trees + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
-    def children(self, nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def lost(self, chance: float, after: float = 0.0) -> float:
+        """The probability that a pair at the similarity parts in one level, or below it with
+        probability ``after`` for each child they share."""
+        wanted = self.similarity / 100
+        apart = 1 - wanted + wanted * after
+        return (1 - chance) * apart + chance * apart * apart
+
+    @property
+    def even(self) -> float:
+        """The chance of a second order with which 100 / similarity orders are chosen on average."""
+        return 100.0 / self.similarity - 1.0
+
+    @property
+    def lively(self) -> float:
+        """The chance of a second order, below the first levels, with which all trees together lose
+        no more than 1 - recall of the pairs at the similarity, however many levels follow."""
+
+        def missed(chance: float) -> float:
+            after = 0.0
+            for _ in range(10_000):  # tends to the share lost by an endless tree
+                after = self.lost(chance, after)
+            for _ in range(self.depth):
+                after = self.lost(self.even, after)
+            return after**self.trees
+
+        low, high = self.even, 1.0
+        for _ in range(12):
+            middle = (low + high) / 2
+            low, high = (low, middle) if missed(middle) <= 1 - self.recall else (middle, high)
+        return high
+
+    def children(self, nodes: np.ndarray, signatures: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:
         """For each node with the signature of a document in it: the child nodes, and the rows they
-        come from. One order is chosen, and with a chance that makes 100 / similarity orders on
-        average a second one."""
+        come from. One order is chosen, and with ``chance`` a second one."""
         first = mix(nodes + U(1))
         second = mix(nodes + U(2))
-        n = U(self.orders)
+        n = U(signatures.shape[1])
         one = (first % n).astype("i8")
         two = ((first % n + U(1) + (second >> U(32)) % (n - U(1))) % n).astype("i8")
-        extra = (second & U(0xFFFFFFFF)).astype("f8") / 2.0**32 < 100.0 / self.similarity - 1.0
+        extra = (second & U(0xFFFFFFFF)).astype("f8") / 2.0**32 < chance
         rows = np.concatenate([np.arange(len(nodes)), np.flatnonzero(extra)])
         order = np.concatenate([one, two[extra]])
         token = signatures[rows, order].astype(U)
         return mix(mix(nodes[rows] + order.astype(U) * U(0xD6E8FEB86659FD93)) + token), rows
 
+    def descend(self, nodes: np.ndarray, signatures: np.ndarray, levels: int, chance: float) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`children`, so many levels below."""
+        rows = np.arange(len(nodes))
+        for _ in range(levels):
+            nodes, back = self.children(nodes, signatures[rows], chance)
+            rows = rows[back]
+        return nodes, rows
+
 
 def _arrow(df: DataFrame, work, kind: str) -> DataFrame:
     return df.mapInArrow(lambda batches: (out for b in batches for out in work(b)), kind)
@@ -151,25 +194,25 @@ def _start(classes: DataFrame, method: ChosenPath) -> DataFrame:
     def work(batch):
         signatures = _signatures(batch.column(1), method.orders)
         n, roots = len(signatures), method.roots()
-        nodes, rows = np.repeat(roots, n), np.tile(np.arange(n), len(roots))
-        for _ in range(method.depth):
-            nodes, back = method.children(nodes, signatures[rows])
-            rows = rows[back]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes.view("i8")), batch.column(0).take(pa.array(rows))], ["node", "digest"])
+        rows = np.tile(np.arange(n), len(roots))
+        nodes, back = method.descend(np.repeat(roots, n), signatures[rows], method.depth, method.even)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.view("i8")), batch.column(0).take(pa.array(rows[back]))], ["node", "digest"])
 
     return _arrow(classes.select("digest", "signature"), work, "node long, digest binary")
 
 
 def _deeper(rows: DataFrame, method: ChosenPath) -> DataFrame:
+    """The nodes some levels below, for rows ``node, digest, sketch``. Its orders are others than
+    those of the first levels, and many, so that trees differ."""
+    half, chance = method.sketch // 2, method.lively
+
     def work(batch):
-        nodes, signatures = batch.column(0).to_numpy().view("u8"), _signatures(batch.column(2), method.orders)
-        rows = np.arange(len(nodes))
-        for _ in range(method.step):
-            nodes, back = method.children(nodes, signatures[rows])
-            rows = rows[back]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes.view("i8")), batch.column(1).take(pa.array(rows))], ["node", "digest"])
+        tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), "u1").reshape(-1, half)
+        nodes, back = method.descend(batch.column(0).to_numpy().view("u8"), tokens, method.step, chance)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.view("i8")), batch.column(1).take(pa.array(back))], ["node", "digest"])
 
-    return _arrow(rows.select("node", "digest", "signature"), work, "node long, digest binary")
+    tokens = F.substring("sketch", half + 1, half)
+    return _arrow(rows.select("node", "digest", tokens), work, "node long, digest binary")
 
 
 def _sketches(column: pa.Array, method: ChosenPath) -> np.ndarray:
@@ -177,57 +220,58 @@ def _sketches(column: pa.Array, method: ChosenPath) -> np.ndarray:
 
 
 def _promising(pairs: DataFrame, method: ChosenPath) -> DataFrame:
-    """``a, b, likeness`` of the pairs (with sketches ``sa, sb``) that may be similar enough."""
-    least, kind = method.least(method.sketch), "a binary, b binary, likeness double"
+    """``a, b`` of the pairs (with sketches ``sa, sb``) that may be similar enough."""
+    least = method.least(method.sketch)
 
     def work(batch):
         same = (_sketches(batch.column(2), method) == _sketches(batch.column(3), method)).mean(1)
         keep = pa.array(np.flatnonzero(same >= least))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep), pa.array(same[same >= least])], ["a", "b", "likeness"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["a", "b"])
 
-    return _arrow(pairs.select("a", "b", "sa", "sb"), work, kind)
+    return _arrow(pairs.select("a", "b", "sa", "sb"), work, "a binary, b binary")
 
 
 def _compared(small: DataFrame, sketches: DataFrame, method: ChosenPath) -> DataFrame:
-    """``a, b, likeness``, a < b, of the promising pairs of different components in the nodes.
+    """``a, b``, a < b, of the promising pairs of different components in the nodes, each once.
 
     The members of a node outside its largest component are at most ``few``; they are sent to
     blocks of about ``block`` members and compared there as arrays. So a node is copied once,
-    not once for each pair, and a large one is spread over many tasks."""
+    not once for each pair, and a large one is spread over many tasks. Each member brings the list
+    of its nodes, which follows the trees and not the number of documents: a pair that meets in
+    several nodes is told by the smallest of them alone."""
     few, some = method.few, method.sketch // 4
-    entry = F.struct("digest", "root", "sketch")
-    rows = small.join(sketches, "digest").withColumn("blocks", F.ceil(F.col("members") / method.block))
-    whole = rows.withColumn("block", F.pmod(F.xxhash64("digest"), "blocks")).groupBy("node", "block").agg(F.collect_list(entry).alias("ys"))
-    apart = rows.where("root != main").groupBy("node").agg(F.collect_list(entry).alias("xs"), F.first("blocks").alias("blocks"))
+    placed = small.groupBy("digest").agg(F.collect_list("node").alias("nodes")).join(sketches, "digest")
+    rows = small.join(placed, "digest").withColumn("blocks", F.ceil(F.col("members") / method.block))
+    rows = rows.withColumn("entry", F.struct("digest", "root", "sketch", "nodes", (F.col("root") != F.col("main")).alias("apart")))
+    whole = rows.withColumn("block", F.pmod(F.xxhash64("digest"), "blocks")).groupBy("node", "block").agg(F.collect_list("entry").alias("ys"))
+    apart = rows.where("entry.apart").groupBy("node").agg(F.collect_list("entry").alias("xs"), F.first("blocks").alias("blocks"))
     apart = apart.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
 
     def work(batch):
-        xs, ys = batch.column(0), batch.column(1)
+        nodes, xs, ys = batch.columns
         x_at, y_at = xs.offsets.to_numpy(), ys.offsets.to_numpy()
         x, y = xs.values, ys.values
         roots = pa.concat_arrays([x.field("root"), y.field("root")]).dictionary_encode().indices.to_numpy()
         rx, ry = roots[: len(x)], roots[len(x) :]
         sx, sy = _sketches(x.field("sketch"), method), _sketches(y.field("sketch"), method)
-        left, right, likeness = [], [], []
-        for i in range(len(batch)):
+        names, others = x.field("digest").to_pylist(), y.field("digest").to_pylist()
+        both = y.field("apart").to_pylist()  # such a member is compared from both sides
+        places = [[set(p) for p in side.field("nodes").to_pylist()] for side in (x, y)]
+        left, right = [], []
+        for i, node in enumerate(nodes.to_pylist()):
             for k in range(x_at[i], x_at[i + 1], few):
                 m, n = slice(k, min(k + few, x_at[i + 1])), slice(y_at[i], y_at[i + 1])
                 same = (sx[m, None, :some] == sy[None, n, :some]).mean(2)
                 one, two = np.nonzero((same >= method.least(some)) & (rx[m, None] != ry[None, n]))
                 one, two = one + m.start, two + n.start
-                same = (sx[one] == sy[two]).mean(1)
-                good = same >= method.least(method.sketch)
-                left.append(one[good])
-                right.append(two[good])
-                likeness.append(same[good])
-        left, right = (np.concatenate([np.empty(0, "i8"), *z]).astype("i8") for z in (left, right))
-        likeness = np.concatenate([np.empty(0), *likeness])
-        yield pa.RecordBatch.from_arrays(
-            [x.field("digest").take(pa.array(left)), y.field("digest").take(pa.array(right)), pa.array(likeness)], ["a", "b", "likeness"]
-        )
+                good = (sx[one] == sy[two]).mean(1) >= method.least(method.sketch)
+                for a, b in zip(one[good].tolist(), two[good].tolist(), strict=True):
+                    if (not both[b] or names[a] < others[b]) and min(places[0][a] & places[1][b]) == node:
+                        left.append(min(names[a], others[b]))
+                        right.append(max(names[a], others[b]))
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
 
-    found = _arrow(apart.join(whole, ["node", "block"]).select("xs", "ys"), work, "a binary, b binary, likeness double")
-    return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("likeness").alias("likeness"))
+    return _arrow(apart.join(whole, ["node", "block"]).select("node", "xs", "ys"), work, "a binary, b binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, method: ChosenPath) -> DataFrame:
@@ -285,9 +329,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
     )
     nodes = stored(_shared(_start(classes, method)), "paths-nodes")
     live = nodes.select("digest").distinct()
-    wanted = stored(classes.join(live, "digest").select("digest", "doc_id", "signature"), "paths-live")
+    wanted = stored(classes.join(live, "digest").select("digest", "doc_id"), "paths-live")
     known = stored(_sets_of(documents, id_col, wanted, method), "paths-sets")
-    signatures, sketches, sets = wanted.select("digest", "signature"), known.select("digest", "sketch"), known.select("digest", "tokens")
+    sketches, sets = known.select("digest", "sketch"), known.select("digest", "tokens")
 
     def likeliest(pairs: DataFrame) -> DataFrame:
         """Confirmed links of each ``b`` with the ``a`` that it meets in most nodes: one for each
@@ -323,7 +367,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", method: Chosen
         found = stored(_confirmed(pairs, sets, method), "paths-links")
         if not found.isEmpty():
             roots = stored(extended(roots, found), "paths-roots")
-        large = left.where(F.col("outside") > method.few).select("node", "digest").join(signatures, "digest")
+        large = left.where(F.col("outside") > method.few).select("node", "digest").join(sketches, "digest")
         nodes = stored(_shared(_deeper(large, method)), "paths-nodes")
         if nodes.isEmpty():
             break

@@ -206,6 +206,50 @@ def test_large_nodes_go_deeper(spark):
     assert len(linked) >= 40 and all(got[i] == got[j] for i, j in linked)
 
 
+@pytest.mark.parametrize("deeper", [1, 3, 8])
+def test_trees_keep_pairs_together_at_any_depth(deeper):
+    """Pairs at the similarity, of which every order agrees with that chance: nearly all still share
+    a node 5, 11 and 26 levels down."""
+    method, rng, missed = neardup.ChosenPath(), np.random.default_rng(4), 0
+
+    def alike(orders, most):
+        a = rng.integers(0, most, orders).astype("u4")
+        return a, np.where(rng.random(orders) < method.similarity / 100, a, a + 1).astype("u4")
+
+    def together(nodes, pair, levels, chance):
+        sides = [method.descend(nodes, np.tile(s, (len(nodes), 1)), levels, chance)[0].tolist() for s in pair]
+        return np.array(sorted(set(sides[0]) & set(sides[1])), "u8")
+
+    for _ in range(300):
+        nodes = together(method.roots(), alike(method.orders, 1 << 32), method.depth, method.even)
+        below = alike(method.sketch // 2, 1 << 8)
+        for _ in range(deeper):
+            nodes = together(nodes, below, method.step, method.lively) if 0 < len(nodes) < 3000 else nodes
+        missed += not len(nodes)
+    assert missed <= 3
+
+
+def test_links_of_a_large_loose_family_are_found(spark):
+    """240 texts, each pair at a similarity of about a half, in nodes that hold far more unlinked
+    members than are compared at once; each of the first 100 has one partner just above the bound."""
+    rnd, base, rows = random.Random(12), prose(13, 200, EN + DE).split(), []
+    for k in range(240):
+        rows.append((k, " ".join(w if rnd.random() > 0.06 else f"n{rnd.random()}" for w in base)))
+    for k, text in rows[:100]:
+        words = text.split()
+        words[20::40] = [f"m{rnd.random()}" for _ in words[20::40]]  # 5 of 200 words, some 25 shingles of 196
+        rows.append((1000 + k, " ".join(words)))
+    method = neardup.ChosenPath(few=24)
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), method=method)
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    sets = {i: word_set(t) for i, t in rows}
+    near = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert 0.3 < near(0, 1) < 0.7
+    linked = [(k, 1000 + k) for k in range(100) if near(k, 1000 + k) >= 0.75]
+    assert len(linked) >= 95 and sum(got[i] == got[j] for i, j in linked) >= 0.99 * len(linked)
+    assert sum(i != c for i, c in got.items()) <= 110  # unlinked members stay apart
+
+
 def test_order_min_hash():
     method = fingerprints.OrderMinHash()
     a, b = prose(1, 400), prose(2, 400)
