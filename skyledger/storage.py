@@ -19,6 +19,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host that Spark resolves it to, for readers and writers that do
+    not know Spark's default file system. A local one is ``file:///...``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to a new shared folder and read back, which cuts its lineage.
 
