@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.storage import scratch_dir
+from skyledger.storage import qualified, scratch_dir
 
 # The query over pages as SQL; a digest is read off five hex digits, which are four letters, at a time.
 ORACLE = """
@@ -43,6 +43,7 @@ FROM firsts
 DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
+_WINDOW = 1 << 14
 
 
 class BadArchive(ValueError):
@@ -77,39 +78,52 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", payload: str = "htm
 
 
 def train_dictionary(pages: DataFrame, samples: int = 400, kept: int = 4096, size: int = 16384) -> bytes:
-    """A dictionary from the first ``kept`` bytes of at most ``samples`` payloads (smallest MD5 of
-    the id). It only affects how small the archives are. Empty if there is too little to train on."""
-    some = pages.orderBy(F.md5(F.col("page_id").cast("string"))).limit(samples)
-    parts = [bytes(r[0]) for r in some.select(F.substring("payload", 1, kept)).collect() if r[0]]
+    """A dictionary from the first ``kept`` bytes of at most ``samples`` payloads, different ones, of
+    the smallest hashes. It only affects how small the archives are. Empty if there is too little to
+    train on.
+
+    Payloads are cut and all but about twice the sample are left out where they are scanned, so the
+    rows that meet in one task, and those that reach the driver, do not grow with the pages."""
+    share = 2 * samples / max(pages.count(), 1)
+    heads = pages.select(F.substring("payload", 1, kept).alias("head")).withColumn("spot", F.pmod(F.xxhash64("head"), F.lit(1 << 30)))
+    some = heads.where((F.col("spot") < int(min(share, 1.0) * (1 << 30))) & (F.length("head") > 0)).distinct()
+    parts = [bytes(r["head"]) for r in some.orderBy("spot", "head").limit(samples).collect()]
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
+def _record_id(page_id, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page_id}/{digest}')}>"
+
+
 def record(page_id, url: str, payload: bytes, refers_to) -> bytes:
-    """One record: header lines, a blank line, the block, two line ends. A revisit has no block."""
+    """One record: header lines, a blank line, the block, two line ends. The block of a response is
+    an HTTP message with the payload as its body; a revisit has none."""
     digest = _b32(hashlib.sha1(payload).digest())
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page_id}')}>"),
+        ("WARC-Record-ID", _record_id(page_id, digest)),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", re.sub(r"[\r\n\0]", "", url)),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("X-Page-ID", "" if page_id is None else str(page_id)),
         ("X-Payload-Length", str(len(payload))),
     ]
-    if refers_to is not None:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("X-Refers-To-Page-ID", str(refers_to))]
-    block = payload if refers_to is None else b""
-    fields += [("Content-Type", "text/html"), ("Content-Length", str(len(block)))]
+    block = b""
+    if refers_to is None:
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
+    else:
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", _record_id(refers_to, digest)), ("X-Refers-To-Page-ID", str(refers_to))]
+    fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     return head.encode() + block + b"\r\n\r\n"
 
 
 def parse_record(data: bytes) -> dict:
-    """Header fields (lower-case names) and ``block`` of one record, with version, lengths and
-    digest checked."""
+    """Header fields (lower-case names), ``block`` and ``payload`` of one record, with version,
+    lengths and digest checked. The payload of an HTTP message is its body."""
     head, blank, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8").split("\r\n")
     if not blank or not re.fullmatch(r"WARC/1\.[01]", lines[0]):
@@ -128,13 +142,17 @@ def parse_record(data: bytes) -> dict:
     n = int(fields["content-length"])
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise BadArchive(f"content-length {n} does not fit {len(rest)} bytes")
-    block = rest[:n]
+    block = payload = rest[:n]
     if fields["warc-type"] == "response":
-        if fields.get("warc-payload-digest") != "sha1:" + _b32(hashlib.sha1(block).digest()):
+        if fields.get("content-type", "").startswith("application/http"):
+            _, blank, payload = block.partition(b"\r\n\r\n")
+            if not blank:
+                raise BadArchive("the HTTP header has no end")
+        if fields.get("warc-payload-digest") != "sha1:" + _b32(hashlib.sha1(payload).digest()):
             raise BadArchive("the payload does not have the digest of the header")
-        if int(fields.get("x-payload-length", n)) != n:
+        if int(fields.get("x-payload-length", len(payload))) != len(payload):
             raise BadArchive("the payload does not have the length of the header")
-    return fields | {"block": block}
+    return fields | {"block": block, "payload": payload}
 
 
 def dictionary_frame(dictionary: bytes) -> bytes:
@@ -142,7 +160,8 @@ def dictionary_frame(dictionary: bytes) -> bytes:
 
 
 def read_archive(data: bytes) -> Iterator[dict]:
-    """The records of an archive, each with its ``offset``."""
+    """The records of an archive, each with its ``offset``. Frames are fed in windows, so a record
+    costs its own length and at most one window more, wherever in the archive it is."""
     view = memoryview(data)
     if len(data) < 8:
         raise BadArchive("too short for an archive")
@@ -157,25 +176,30 @@ def read_archive(data: bytes) -> Iterator[dict]:
     options = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
     reader, at = zstandard.ZstdDecompressor(**options), 8 + size
     while at < len(data):
-        frame = reader.decompressobj()
-        try:
-            out = frame.decompress(view[at:])
-        except zstandard.ZstdError as error:
-            raise BadArchive(f"bad frame at {at}: {error}") from error
-        if not frame.eof:
-            raise BadArchive(f"the frame at {at} is cut off")
-        yield parse_record(out) | {"offset": at}
-        at = len(data) - len(frame.unused_data)
+        frame, out, end = reader.decompressobj(), [], at
+        while not frame.eof:
+            if end >= len(data):
+                raise BadArchive(f"the frame at {at} is cut off")
+            part = view[end : end + _WINDOW]
+            try:
+                out.append(frame.decompress(part))
+            except zstandard.ZstdError as error:
+                raise BadArchive(f"bad frame at {at}: {error}") from error
+            end += len(part)
+        yield parse_record(b"".join(out)) | {"offset": at}
+        at = end - len(frame.unused_data)
 
 
 def write_archives(
     marked: DataFrame, folder: str, dictionary: bytes, archive_bytes: int = 16 << 20, level: int = 3
 ) -> DataFrame:
     """Write ``marked`` (of :func:`mark_revisits`) into archives of about ``archive_bytes`` under
-    ``folder``, at most; return the manifest: ``path, n_records, n_bytes``."""
+    ``folder``, at most; return the manifest: ``path, n_records, n_bytes``. A folder without a
+    scheme is on Spark's default file system, as it is for :func:`read_archives`."""
+    folder = qualified(marked.sparkSession, folder)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+        store, base = pafs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         options = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
         writer = zstandard.ZstdCompressor(level=level, **options)
@@ -218,7 +242,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, id_type
                         (own or None, r.get("warc-target-uri"), r["warc-type"],
                          r.get("warc-payload-digest", "").removeprefix("sha1:"),
                          int(r.get("x-payload-length", len(r["block"]))), refers or None,
-                         r["block"] if r["warc-type"] == "response" else None, path, r["offset"])
+                         r["payload"] if r["warc-type"] == "response" else None, path, r["offset"])
                     )
                     held += len(r["block"])
                     if held > 8 << 20:
@@ -242,13 +266,13 @@ def round_trip(pages: DataFrame, least: int = 0, **settings) -> DataFrame:
     records of their own (equal ids are one response each way); a null id is written empty and
     read as null; an empty table gives no archives and no rows; other columns are ignored.
     """
-    spark = pages.sparkSession
+    spark, id_type = pages.sparkSession, dict(pages.dtypes)["page_id"]
     marked = mark_revisits(pages, least=least)
     folder, listing = scratch_dir(spark, "warc"), scratch_dir(spark, "warc-manifest")
-    plain = pages.select("page_id", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
+    plain = pages.select(F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     write_archives(marked, folder, train_dictionary(plain), **settings).write.parquet(listing)
     manifest = spark.read.parquet(listing)
     if manifest.isEmpty():
-        names = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary, path string, offset long"
-        return spark.createDataFrame([], names)
-    return read_archives(spark, manifest, folder, dict(pages.dtypes)["page_id"])
+        names = "page_id {0}, url string, record_type string, payload_digest string, payload_bytes long, refers_to {0}, payload binary, path string, offset long"
+        return spark.createDataFrame([], names.format(id_type))
+    return read_archives(spark, manifest, folder, id_type)
