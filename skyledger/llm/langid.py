@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAD = 256  # its input is never counted
@@ -163,22 +163,25 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def training_sample(
-    labelled: DataFrame, per_lang: int = 600, windows: int = 4, chars: int = 64, most_langs: int = 200
-) -> list[tuple[str, str]]:
-    """``(lang, piece of text)`` for the driver: about ``per_lang`` rows of each language, ``windows``
-    pieces of ``chars`` characters of each, at places fixed by the text's hash. At most
-    ``most_langs`` languages, the most frequent, are learned. All three numbers bound the sample."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
-    if not counts:
-        return []
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, per_lang / r["count"]))])
-    spot = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    place = lambda k: (F.pmod(F.xxhash64(F.lit(k), F.col("text")), F.greatest(F.length("text") - chars, F.lit(1))) + 1).cast("int")
+def training_sample(labelled: DataFrame, per_lang: int = 600, windows: int = 4, chars: int = 64) -> list[tuple[str, str]]:
+    """``(lang, piece of text)`` for the driver: at most ``per_lang`` different texts of each
+    language, those with the smallest hashes, and of each ``windows`` pieces of ``chars`` characters at
+    places fixed by the hash. Every language is learned; the three numbers bound the sample of each.
+
+    Rows are reduced to a hash and their pieces where they are scanned, and all but about three times the
+    sample are left out there; a text that many rows repeat counts once, so copies neither swell the
+    sample nor crowd others out of it."""
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("mark", F.xxhash64("text"))
+    spot = F.pmod(F.xxhash64("mark"), F.lit(1 << 30))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).select("lang", (F.lit(3.0 * per_lang) / F.col("n")).alias("share"))
+    place = lambda k: (F.pmod(F.xxhash64(F.lit(k), F.col("mark")), F.greatest(F.length("text") - chars, F.lit(1))) + 1).cast("int")
     pieces = F.array(*[F.substring(F.col("text"), place(k), F.lit(chars)) for k in range(windows)])
-    picked = rows.where(spot < F.element_at(share, F.col("lang")))
-    got = picked.select("lang", F.explode(F.array_distinct(pieces)).alias("piece")).collect()
+    drawn = rows.join(counts, "lang").where(spot < F.col("share") * (1 << 30))
+    drawn = drawn.select("lang", "mark", spot.alias("spot"), F.array_distinct(pieces).alias("pieces"))
+    texts = drawn.groupBy("lang", "mark", "spot").agg(F.min("pieces").alias("pieces"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "mark"))
+    chosen = texts.withColumn("nth", nth).where(F.col("nth") <= per_lang)
+    got = chosen.select("lang", F.explode("pieces").alias("piece")).collect()
     return sorted((r["lang"], r["piece"]) for r in got)
 
 

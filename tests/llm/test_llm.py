@@ -463,3 +463,16 @@ def test_dictionary_sample_is_bounded(spark):
     rows = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit("<p>hot</p>" * 50)).otherwise(F.concat(F.lit("<p>the page number "), F.col("id"))).cast("binary").alias("payload"))
     assert warc.train_dictionary(rows, samples=100) == warc.train_dictionary(rows.repartition(7), samples=100)
     assert warc.train_dictionary(rows.limit(0)) == b""
+
+
+def test_language_sample_is_bounded_and_leaves_no_language_out(spark):
+    """A text that a third of the rows repeat gives its pieces once, and rare languages are learned."""
+    rows = [("en", prose(1, 40))] * 1_000 + [("en", prose(100 + i, 40)) for i in range(1_500)]
+    rows += [(f"l{i}", f"{prose(5_000 + i, 30, DE)} {i}") for i in range(250)] + [(None, "no language"), ("en", None), ("zz", "12 34")]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    sample = langid.training_sample(frame, per_lang=100)
+    assert {lang for lang, _ in sample} == {"en", *(f"l{i}" for i in range(250))}
+    english = [piece for lang, piece in sample if lang == "en"]
+    assert 350 <= len(english) <= 400 and len(set(english)) == len(english)
+    assert sample == langid.training_sample(frame.repartition(2), per_lang=100)
+    assert langid.training_sample(frame.limit(0)) == []
