@@ -103,25 +103,57 @@ def test_chunks_resist_shifts_and_cover_the_text():
     assert len(pieces(text) - moved) <= 3
 
 
-def test_substring_dedup_against_brute_force(spark, odd_rows, none):
-    passage = prose(77, 60, DE)
-    rows = [(i, prose(100 + i, 80) + " " + passage + " " + prose(200 + i, 80)) for i in range(6)] + [(50, prose(300, 200))]
-    out = {r.doc_id: r for r in chunkdedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    method, seen = chunkdedup.Chunks(), set()
+def repeated_words(rows, width=50):
+    """By word windows alone: for each text, in order of ids, which bytes lie in runs of ``width`` words that
+    occurred before, and which words."""
+    seen = set()
     for i, text in rows:
-        data, kept, a = text.encode(), b"", 0
-        for b in method.cuts(np.frombuffer(data, "u1")).tolist():
-            kept += b"" if data[a:b] in seen else data[a:b]
-            seen.add(data[a:b])
-            a = b
-        assert out[i].kept_text == kept.decode() and out[i].removed_bytes == len(data) - len(kept)
-    assert out[0].removed_bytes == out[50].removed_bytes == out[50].repeated_bytes == 0 and out[0].repeated_bytes > 100
-    assert all(out[i].removed_bytes > 100 for i in range(1, 6))
+        words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", text.encode())]
+        data, inside = text.encode(), bytearray(len(text.encode()))
+        for k in range(len(words) - width + 1):
+            key = tuple(data[a:b] for a, b in words[k : k + width])
+            if key in seen:
+                a, b = words[k][0], words[k + width - 1][1]
+                inside[a:b] = b"\1" * (b - a)
+            seen.add(key)
+        yield i, data, inside
+
+
+def test_substring_dedup_against_brute_force(spark, odd_rows, none):
+    """Nearly all bytes in runs of 50 words that were there before go, and little else."""
+    passages = [prose(70 + k, n, EN + DE) for k, n in enumerate((51, 60, 90, 400))] + ["again " * 700]
+    near = [prose(100, 300)] + [" ".join(w if k % 90 else f"w{i}x{k}" for k, w in enumerate(prose(100, 300).split())) for i in range(4)]
+    rows = [(i, f"{prose(110 + i, 80)} {passages[i % 5]}{' ' * (i % 2)}\n{prose(200 + i, 80)}") for i in range(30)]
+    rows += [(50 + i, t) for i, t in enumerate(near)] + [(60 + i, prose(300 + i, 200)) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = {r.doc_id: r for r in chunkdedup.dedup_substrings(frame).collect()}
+    spans = {r.id: r for r in chunkdedup.repeated_spans(frame).collect()}
+    repeated = met = beyond = 0
+    for i, data, inside in repeated_words(rows):
+        gone = bytearray(len(data))
+        for s in spans[i].gone if i in spans else []:
+            assert not any(gone[s.start : s.end])
+            gone[s.start : s.end] = b"\1" * (s.end - s.start)
+        assert out[i].kept_text.encode() == bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        assert out[i].removed_bytes == sum(gone) <= out[i].repeated_bytes and set(out[i].kept_text.split()) <= set(data.decode().split())
+        assert i < 60 or not any(gone)
+        repeated += sum(inside)
+        met += sum(g and r for g, r in zip(gone, inside, strict=True))
+        beyond += sum(gone) if not any(inside) and "again" not in data.decode() else 0
+    assert met >= 0.97 * repeated > 20_000 and beyond <= 0.05 * repeated
     got = {(r.doc_id, r.kept_text is None) for r in chunkdedup.dedup_substrings(odd_rows).collect()}
     assert (3, True) in got and chunkdedup.dedup_substrings(odd_rows).count() == 11
     assert chunkdedup.dedup_substrings(none).collect() == []
 
 
+def test_shared_bytes_are_whole_words():
+    shared = lambda a, b, right: chunkdedup._shared(a, b, right, 16)
+    assert shared(b"foo bar", b"foo bar", True) == 7 and shared(b"foo bar", b"foo bar", False) == 7  # ends of texts
+    assert shared(b"foo", b"foobar", True) == 0 and shared(b"foo ba", b"foo bo", True) == 4
+    assert shared(b"x foo ", b"y foo ", False) == 4 and shared(b"xfoo ", b"foo ", False) == 0
+    assert shared(b"a" * 16, b"a" * 16, True) == 0 == shared(b"", b"foo", True)  # the word may go on
+
+
 def test_common_endings_stay(spark):
     """Unrelated documents that end in the same word lose nothing, and no text ends in a short chunk."""
     rnd = random.Random(12)
@@ -158,7 +190,7 @@ def test_passages_are_found_by_length(spark):
         # what stays is the text on both sides of one cut, which lies within the passage
         assert r.removed_spans == 1 and r.kept_text.startswith(text[:a]) and r.kept_text.endswith(text[b:])
         share.setdefault(n, []).append(r.removed_bytes / (b - a))
-    assert min(share[51]) > 0.5 and np.mean(share[51]) > 0.8 and np.mean(share[100]) > 0.9 and np.mean(share[400]) > 0.97
+    assert min(share[51]) > 0.8 and np.mean(share[51]) > 0.97 and np.mean(share[100]) > 0.98 and np.mean(share[400]) > 0.99
 
 
 def test_short_repeats_stay(spark):
