@@ -90,7 +90,11 @@ class OrderMinHash:
 
 
 def fingerprint(documents: DataFrame, text: str = "text", method: OrderMinHash | None = None) -> DataFrame:
-    """``documents`` with a ``fingerprint`` of each whole text (null counts as empty)."""
+    """``documents`` with a ``fingerprint`` of each whole text.
+
+    Defined results: null text counts as empty, whose fingerprint is all zeros; repeated rows stay and
+    are alike; an empty table gives no rows; a column of the input named ``fingerprint`` is replaced.
+    """
     method = method or OrderMinHash()
     own = [c for c in documents.columns if c != "fingerprint"]
     rows = documents.select(F.struct(*own).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -116,6 +120,17 @@ _OUT = (
 )
 
 
+def ranged(rows: DataFrame) -> DataFrame:
+    """``part, doc_id, text``: rows in descending order of ids, dealt to tasks by ranges that also split
+    rows of one id, and of one id and text, by their place in the input."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("place"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("mark")]
+    # texts stay out of the ranges' sample
+    dealt = rows.repartitionByRange(n, *order, "place").sortWithinPartitions(*order, "text", "place")
+    return dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+
+
 def with_neighbours(documents: DataFrame, id_col: str = "doc_id", method: OrderMinHash | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text, against the next document.
 
@@ -123,15 +138,11 @@ def with_neighbours(documents: DataFrame, id_col: str = "doc_id", method: OrderM
     Rows are range-partitioned and sorted, so each task walks its rows with the next one in hand;
     only the last row of each task waits for the first row of the next task, one row a partition.
 
-    Defined results: null text is empty; null ids come last; rows of equal ids are ordered by
-    text; a single row is its own next; an empty table gives no rows; other columns are ignored.
+    Defined results: null text is empty; null ids come last; rows of equal ids are ordered by a
+    hash of the text, then the text; a single row is its own next; an empty table gives no rows; other columns are ignored.
     """
     method, spark = method or OrderMinHash(), documents.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
     rows = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    ranged = rows.repartitionByRange(n, *order[:1]).sortWithinPartitions(*order)
-    ranged = ranged.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     kind = _OUT.format(id=dict(rows.dtypes)["doc_id"])
     names = [c.split()[0] for c in kind.split(", ")]
 
@@ -161,7 +172,7 @@ def with_neighbours(documents: DataFrame, id_col: str = "doc_id", method: OrderM
             yield table([(held[0], first, True, held[1], len(held[2]), *facts(held[2], held[3], None, None), held[2])])
 
     schema = to_arrow_schema(spark.createDataFrame([], kind).schema)
-    done = stored(ranged.mapInArrow(tasks, kind), "order-minhash")
+    done = stored(ranged(rows).mapInArrow(tasks, kind), "order-minhash")
     # one row per partition: the last one of each waits for the first one of the next
     heads = done.where("first").select("part", F.col("text").alias("following"))
     after = Window.orderBy("part")

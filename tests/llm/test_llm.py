@@ -90,6 +90,8 @@ def test_mixing(odd_rows, none):
     assert all(abs(r.target - target[r.source]) < 1e-6 for r in rows)
     assert mixing.mix(odd_rows).count() == sum(int(r["copies"]) for r in rows)
     assert "rendered" not in mixing.mix(odd_rows).columns
+    clash = odd_rows.withColumn("_source", F.lit("x")).withColumn("mix_source", F.lit("y"))
+    assert mixing.with_copies(clash).count() == 11
 
 
 def test_chunks_resist_shifts_and_cover_the_text():
@@ -325,6 +327,58 @@ def test_fingerprints_of_neighbours(spark, odd_rows, none):
     assert fingerprints.fingerprint(odd_rows).count() == 11
 
 
+def plain_order_min_hash(text, k=8, take=2, lanes=64, seed=3):
+    """Order MinHash by its definition, one lane and one k-mer at a time."""
+    big = lambda x: int(x) & (1 << 64) - 1
+
+    def mixed(x):
+        for _ in range(2):
+            x ^= x >> 32
+            x = big(x * 0xD6E8FEB86659FD93)
+        return x ^ x >> 32
+
+    multipliers = lambda n, s: [mixed(big(i * 0x9E3779B97F4A7C15 + s)) | 1 for i in range(1, n + 1)]
+    if not text:
+        return "0" * 4 * lanes
+    codes = [ord(c) + 1 for c in text]
+    codes += [0] * (k - len(codes))
+    ways = multipliers(k, seed)
+    factor = [1] * k  # as places are doubled: place i has the product of the factors of its bits
+    for i in range(1, k):
+        factor[i] = big(factor[i - (1 << i.bit_length() - 1)] * ways[1 << i.bit_length() - 1])
+    kmers = [mixed(big(sum(codes[j + i] * factor[i] for i in range(k)))) for j in range(len(codes) - k + 1)]
+    seen, numbered = {}, []
+    for h in kmers:
+        numbered.append(mixed(big(h + seen.setdefault(h, 0) * 0x9E3779B97F4A7C15)) >> 32)
+        seen[h] += 1
+    out, joint = "", multipliers(take, seed + 2)
+    for way in multipliers(lanes, seed + 1):
+        order = sorted(range(len(kmers)), key=lambda j: (numbered[j] * (way & 0xFFFFFFFF) & 0xFFFFFFFF, j))
+        chosen = sorted(order[: min(take, len(kmers))])
+        out += f"{mixed(big(sum(kmers[j] * w for j, w in zip(chosen, joint)))) >> 48:04x}"
+    return out
+
+
+def test_fingerprints_against_brute_force(spark):
+    rows = [(i, prose(600 + i, 3 + 40 * i, EN + DE)) for i in range(6)] + [(6, "ab"), (7, ""), (8, "again " * 600), (9, "é" * 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: plain_order_min_hash(t) for i, t in rows}
+    assert {r.doc_id: r.fingerprint for r in fingerprints.fingerprint(frame).collect()} == want
+    assert {r.doc_id: r.fingerprint for r in fingerprints.with_neighbours(frame).collect()} == want
+
+
+def test_rows_without_an_id_are_dealt_to_all_tasks(spark):
+    """A third of the rows lack an id, half of those have one text: no range gets them all."""
+    rows = [(None if i % 3 == 0 else i, "the same words" if i % 6 == 0 else f"text {i}") for i in range(6000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    out = fingerprints.with_neighbours(frame)
+    got = out.collect()
+    assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted((i or -1, len(t)) for i, t in rows)
+    ranged = fingerprints.ranged(frame.select("doc_id", "text"))
+    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 6000 / 8
+
+
 def test_decontamination_against_brute_force(spark, odd_rows, none):
     items = [(1, prose(900, 30, EN + DE)), (2, prose(901, 12, EN + DE)), (3, "two words"), (4, None), (5, "  ")]
     rnd, rows = random.Random(4), []
@@ -439,6 +493,20 @@ def test_token_counts(spark, odd_rows, none):
     for r in got:
         assert r.n_tokens == len(plain.encode(r.text or "", add_special_tokens=False).ids) and r.over_limit == (r.n_tokens > 2048)
     assert tokens.count_tokens(none, path).collect() == []
+    clash = odd_rows.withColumn("__text", F.lit("x")).withColumn("_TEXT", F.lit("y"))
+    assert {r.n_tokens for r in tokens.count_tokens(clash, path).collect()} == {r.n_tokens for r in got}
+
+
+def test_long_texts_are_spliced_by_default(spark):
+    """Texts of the tables' length go in chunks, spliced at their overlaps, and count as the library says."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter, plain = tokens.Counter(path), tokens.Counter(path).tokenizer
+    for n in (3000, 9000):
+        text = prose(n, n, EN + DE)
+        assert counter.count(text) == len(plain.encode(text, add_special_tokens=False).ids)
+    assert counter.resyncs > 5
+    blank = "x" * 10_000 + " " + "é" * 10_000  # no white space in most overlaps: widened until both chunks are one
+    assert counter.count(blank) == len(plain.encode(blank, add_special_tokens=False).ids) and counter.widened
 
 
 def test_components_extended(spark):
