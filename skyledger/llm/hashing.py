@@ -1,6 +1,7 @@
 """Hashes of bytes, words and runs of words as whole numpy arrays."""
 
 import numpy as np
+from pyspark.sql import DataFrame
 
 U = np.uint64
 _A, _B = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
@@ -16,6 +17,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many underscores in front as make it no column of the frames."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 _ODD: dict[tuple[int, int], np.ndarray] = {}
 
 

@@ -16,13 +16,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructType
 from tokenizers import Tokenizer
 
+from skyledger.llm.arrows import kept
+from skyledger.llm.hashing import unused
+
 _WHITE = " \t\n\r\x0b\x0c"
 _WORDS = re.compile(f"[^{_WHITE}]+")
 # Words of printable ASCII and composed Latin letters: normalization only lowers them.
@@ -37,7 +39,7 @@ _BYTES = {b: _HIDDEN.get(b, chr(b)) for b in range(256)}
 class Counter:
     """Counts tokens as the tokenizer of a file does, without added special tokens."""
 
-    def __init__(self, path: str, chunk: int = 1 << 16, overlap: int = 1 << 10, remembered: int = 400_000):
+    def __init__(self, path: str, chunk: int = 1 << 12, overlap: int = 1 << 9, remembered: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -132,16 +134,8 @@ class Counter:
 
 
 def counter(path: str, **chunks) -> Counter:
-    """One counter per Python worker and settings, kept for the worker's next tasks.
-
-    It hangs on a module that every worker imports: globals of functions sent to a task are new
-    in each task.
-    """
-    kept = vars(tokenizers).setdefault("_kept_counters", {})
-    key = (path, *sorted(chunks.items()))
-    if key not in kept:
-        kept[key] = Counter(path, **chunks)
-    return kept[key]
+    """One counter per Python worker and settings, kept for the worker's next tasks."""
+    return kept("token counter", (path, *sorted(chunks.items())), lambda: Counter(path, **chunks))
 
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, limit: int = 2048, text: str = "text", **chunks) -> DataFrame:
@@ -168,7 +162,7 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, limit: int = 2048, t
             columns = [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    rows = documents.select(*own, F.col(text).alias("__text"))
+    rows = documents.select(*own, F.col(text).alias(unused("text", documents)))
     schema = StructType(list(rows.schema.fields[:-1])).add("n_bytes", LongType()).add("n_tokens", LongType())
     out = to_arrow_schema(schema)
     return rows.mapInArrow(tasks, schema).withColumn("over_limit", F.col("n_tokens") > limit).select(*own, *new)
