@@ -8,6 +8,7 @@ Everything is DataFrame functions.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.hashing import unused
 from skyledger.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,12 +84,13 @@ def with_copies(documents: DataFrame, seed: int = 17, id_col: str = "doc_id", **
     new = ["size", "source_size", "target", "copies"]
     own = [c for c in documents.columns if c not in new]
     sizes = documents.select("source", word_count(F.col("text")).alias("size"))
-    targets = source_targets(sizes, **goal).withColumnRenamed("source", "_source")
+    theirs = unused("mix_source", documents)
+    targets = source_targets(sizes, **goal).withColumnRenamed("source", theirs)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     extra = draw(F.col(id_col), seed) < rate - F.floor(rate)
     return (
         documents.select(*own)
-        .join(targets, F.col("source").eqNullSafe(F.col("_source")))
+        .join(targets, F.col("source").eqNullSafe(F.col(theirs)))
         .withColumn("size", word_count(F.col("text")))
         .withColumn("copies", F.floor(rate) + extra.cast("long"))
         .select(*own, *new)
