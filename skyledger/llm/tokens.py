@@ -13,6 +13,7 @@ overlap holds none, it is widened until it does or until both chunks are one.
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,7 +40,7 @@ _BYTES = {b: _HIDDEN.get(b, chr(b)) for b in range(256)}
 class Counter:
     """Counts tokens as the tokenizer of a file does, without added special tokens."""
 
-    def __init__(self, path: str, chunk: int = 1 << 12, overlap: int = 1 << 9, remembered: int = 400_000):
+    def __init__(self, path: str, chunk: int = 1 << 12, overlap: int = 1 << 7, remembered: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -86,50 +87,58 @@ class Counter:
             return sum(map(self.known.__getitem__, words))
 
     def edges(self, text: str, start: int, end: int) -> list[tuple[int, int]]:
-        """Offsets in ``text`` of the tokens of ``text[start:end]``, encoded by itself."""
-        found = self.tokenizer.encode(text[start:end], add_special_tokens=False).offsets
-        return [(start + a, start + b) for a, b in found]
+        """Offsets in ``text[start:end]`` of its tokens, encoded by itself."""
+        return self.tokenizer.encode(text[start:end], add_special_tokens=False).offsets
 
     def _spliced(self, text: str) -> int:
         """Tokens of a huge text. A cut is a white space character in the overlap at which no
         token of either chunk lies; tokens before it count from the left chunk, those after it
         from the right one."""
-        total, start, n = 0, 0, len(text)
+        total, start, floor, n = 0, 0, 0, len(text)  # ``floor``: the last cut
         end = min(self.chunk, n)
-        left = self.edges(text, start, end)
+        left, done = self.edges(text, start, end), 0  # ``done``: tokens of it that the chunk before has
         while end < n:
             width, cut = self.overlap, None
             while cut is None:
-                begin = max(start, end - width)
+                begin = max(floor, end - width)
                 stop = min(n, end + self.chunk)
                 right = self.edges(text, begin, stop)
-                cut = self._stable(text, left, right, begin, end)
+                cut = self._stable(text, left, start, right, begin, end)
                 if cut is None:
                     self.widened += 1
-                    if begin == start:  # nothing stable in the whole left chunk: encode both as one
-                        left, end, width = self.edges(text, start, stop), stop, self.overlap
+                    if begin == floor:  # nothing stable since the last cut: encode both as one from there
+                        left, start, done = self.edges(text, floor, stop), floor, 0
+                        end, width = stop, self.overlap
                         if end == n:
                             return total + len(left)
                         continue
                     width *= 2
             self.resyncs += 1
-            total += sum(a < cut for a, _ in left)
-            left, start, end = [t for t in right if t[0] >= cut], cut, stop
-        return total + len(left)
+            total += bisect_left(left, (cut - start,)) - done
+            left, start, floor, end = right, begin, cut, stop
+            done = bisect_left(left, (cut - start,))
+        return total + len(left) - done
 
     @staticmethod
-    def _stable(text: str, left: list, right: list, begin: int, end: int) -> int | None:
+    def _stable(text: str, left: list, start: int, right: list, begin: int, end: int) -> int | None:
         """A white space character strictly inside both chunks with the same tokens after it up
         to the next one, as both encode them; the one nearest the middle of the overlap."""
-        inside = lambda tokens, a, b: [t for t in tokens if a <= t[0] and t[1] <= b]
+
+        def near(tokens, first, spot, after):
+            """Tokens that reach over ``spot`` or lie between it and ``after``, as places of the text."""
+            at = bisect_left(tokens, (spot - first,))
+            back = [t for t in tokens[max(at - 8, 0) : at] if t[1] > spot - first]
+            return back, [(first + a, first + b) for a, b in tokens[at : bisect_left(tokens, (after - first,))]]
+
         middle = (begin + end) // 2
-        spots = [m.start() for m in re.finditer(f"[{_WHITE}]", text[begin:end])]
-        spots = [begin + s for s in spots if begin < begin + s < end - 1]
+        spots = [begin + m.start() for m in re.finditer(f"[{_WHITE}]", text[begin:end])]
+        spots = [s for s in spots if begin < s < end - 1]
         for spot in sorted(spots, key=lambda s: abs(s - middle))[:8]:
             after = next((s for s in spots if s > spot), None)
-            crossed = any(a <= spot < b for a, b in left[-4096:] + right[:4096])
-            if after is not None and not crossed and inside(left, spot, after) == inside(right, spot, after):
-                return spot
+            if after is not None:
+                (over, own), (across, theirs) = near(left, start, spot, after), near(right, begin, spot, after)
+                if not over and not across and own == theirs:
+                    return spot
         return None
 
 
