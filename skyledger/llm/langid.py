@@ -176,7 +176,9 @@ def training_sample(labelled: DataFrame, per_lang: int = 600, windows: int = 4,
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).select("lang", (F.lit(3.0 * per_lang) / F.col("n")).alias("share"))
     place = lambda k: (F.pmod(F.xxhash64(F.lit(k), F.col("mark")), F.greatest(F.length("text") - chars, F.lit(1))) + 1).cast("int")
     pieces = F.array(*[F.substring(F.col("text"), place(k), F.lit(chars)) for k in range(windows)])
-    drawn = rows.join(counts, "lang").where(spot < F.col("share") * (1 << 30))
+    # one row a language, of each of which the driver gets up to ``per_lang`` texts anyway; without the hint, all rows
+    # are first dealt by language
+    drawn = rows.join(F.broadcast(counts), "lang").where(spot < F.col("share") * (1 << 30))
     drawn = drawn.select("lang", "mark", spot.alias("spot"), F.array_distinct(pieces).alias("pieces"))
     texts = drawn.groupBy("lang", "mark", "spot").agg(F.min("pieces").alias("pieces"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("spot", "mark"))
